@@ -100,3 +100,23 @@ class KeyFilter:
         )
         joined = probe.join(F.broadcast(self.bits), F.col("_kf_b") == F.col("_kf_bucket"), "left")
         return joined.withColumn(name, hit).drop("_kf_b", "_kf_p", "_kf_bucket", "_kf_bits")
+
+
+def row_key(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
+    """What tells rows apart when a verdict is joined back: the id and a hash of the text."""
+    return docs[doc_id].alias("key_id"), F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("key_hash")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` less the rows whose key is in ``gone(key_id, key_hash)``; columns as they were.
+
+    Rows outside a bounded bitmap of the gone keys pass without a shuffle; only the others, the gone
+    ones and few more, meet them in an anti join.
+    """
+    gone = materialize(gone.select("key_id", "key_hash").distinct(), "gone")
+    key = F.xxhash64("key_id", "key_hash")
+    tagged = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *row_key(docs, doc_id, text))
+    marked = KeyFilter(gone, key).mark(tagged, key, "maybe")
+    g = gone.select(F.col("key_id").alias("g_id"), F.col("key_hash").alias("g_hash"))
+    match = F.col("key_id").eqNullSafe(F.col("g_id")) & (F.col("key_hash") == F.col("g_hash"))
+    return marked.where("not maybe").select("row.*").unionByName(marked.where("maybe").join(g, match, "left_anti").select("row.*"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, table, without_space
+from .common import WORD, materialize, row_key, table, without_rows, without_space
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -54,15 +54,15 @@ def _without(text: Column, chars: str) -> Column:
     return text
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``row`` (all columns of ``docs``) and ``q`` (a struct of counts); no shuffle.
+def with_counts(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
+    """``row`` (the columns ``carry``) and ``q`` (a struct of counts); no shuffle.
 
     The repeated windows are found inside the row: hash every window, sort the hashes, keep values
     with an equal neighbour.  Where none repeats (most texts) that is all; a few repeated values are
     looked up in place; many (junk) are found by sorting (hash, position) pairs.
     """
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    c = counts(F.col("row")[text])
+    whole = docs.select(F.struct(*[docs[c].alias(c) for c in carry]).alias("row"), docs[text].cast("string").alias("text"))
+    c = counts(F.col("text"))
     base = whole.select("row", *[v.alias(k) for k, v in c.items()])
     hashed = base.select(
         "*",
@@ -143,18 +143,13 @@ def _em(patterns: DataFrame, m: int, steps: int) -> DataFrame:
     return fitted.select(F.explode("ps").alias("x"), "p").select(F.col("x.code").alias("code"), F.expr(f"1 / (1 + exp(-({odds})))").alias("posterior"), "p")
 
 
-def judge(docs: DataFrame, text: str = "text", *, carry: list[str] | None = None, em_steps: int = EM_STEPS, keep_at: float = KEEP_AT) -> DataFrame:
-    """One row per input row: ``row`` (columns ``carry``, default all), ``q``, ``base_failed``,
-    ``posterior``, ``kept``.
+def judge(docs: DataFrame, text: str = "text", *, carry: list[str], em_steps: int = EM_STEPS, keep_at: float = KEEP_AT) -> DataFrame:
+    """One row per input row: ``row`` (the columns ``carry``), ``q``, ``base_failed``, ``posterior``, ``kept``.
 
-    The texts are read once for the counts; when ``carry`` leaves the text out, the counts are kept
-    as a small table and EM and verdict never see a text again.  The only shuffle is the
-    pre-aggregated count of vote combinations.
+    The texts are read once for the counts, which are kept as a small table; EM and verdict never see
+    a text again.  The only shuffle is the pre-aggregated count of vote combinations.
     """
-    carried = with_counts(docs, text).select(
-        (F.col("row") if carry is None else F.struct(*[F.col("row")[c].alias(c) for c in carry])).alias("row"), "q"
-    )
-    counted = carried if carry is None else materialize(carried, "quality")
+    counted = materialize(with_counts(docs, text, carry), "quality")
     q = F.col("q")
     ballots = votes(q)
     m = len(ballots)
@@ -170,9 +165,11 @@ def judge(docs: DataFrame, text: str = "text", *, carry: list[str] | None = None
     return joined.select("row", "q", "base_failed", "posterior", kept.alias("kept"))
 
 
-def drop_low_quality(docs: DataFrame, text: str = "text") -> DataFrame:
+def drop_low_quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they were."""
-    return judge(docs, text).where("kept").select("row.*")
+    keyed = docs.select(*row_key(docs, doc_id, text), docs[text].alias("text"))
+    gone = judge(keyed, carry=["key_id", "key_hash"]).where("not kept").select("row.*")
+    return without_rows(docs, gone, doc_id, text)
 
 
 def op5_quality_rules(spark, sf_dir):

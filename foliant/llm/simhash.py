@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import KeyFilter, materialize, table
+from .common import materialize, row_key, table, without_rows
 
 SEED = 42
 BITS = 64
@@ -196,20 +196,14 @@ def _labelled(fps: DataFrame, max_distance: int) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, shingle: int = 5, max_distance: int = 3) -> DataFrame:
     """The rows of ``docs`` less all but one of each near-duplicate group (the smallest id stays).
 
-    Only the rows to drop travel: their ids are joined against the documents, after a bounded bitmap
-    has let all other documents pass without a shuffle.
+    Rows equal in id and text are one document here and stay or go together (an exact dedup runs first).
     """
-    tagged = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("d"), docs[text].alias("t"))
-    key = F.xxhash64("d", "t")
-    fps = materialize(fingerprints(tagged.select("d", "t", key.alias("k")), text="t", carry=("d", "k"), shingle=shingle), "simhash-fp")
-    groups = fps.select(F.struct(F.col("d").isNull().alias("n"), "d", "k").alias("doc_id"), "fp")
-    out = _labelled(groups, max_distance)
-    gone = materialize(out.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.k").alias("g")).distinct(), "simhash-gone")
-    marked = KeyFilter(gone, F.col("g")).mark(tagged.select("row", key.alias("k")), F.col("k"), "maybe")
-    passed = marked.where("not maybe").select("row.*")
-    # repeated rows share id and text, hence one key; one of them stays
-    checked = marked.where("maybe").join(gone, F.col("k") == F.col("g"), "left_anti").select("row.*")
-    return passed.unionByName(checked)
+    keyed = docs.select(*row_key(docs, doc_id, text), docs[text].alias("text"))
+    fps = materialize(fingerprints(keyed, carry=("key_id", "key_hash"), shingle=shingle), "simhash-fp")
+    # of one id's different texts the smaller hash goes first, so that exactly one row of a class is its head
+    order = F.struct(F.col("key_id").isNull().alias("n"), F.col("key_id").alias("key_id"), F.col("key_hash").alias("key_hash"))
+    out = _labelled(fps.select(order.alias("doc_id"), "fp"), max_distance)
+    return without_rows(docs, out.where("doc_id <> component_id").select("doc_id.key_id", "doc_id.key_hash"), doc_id, text)
 
 
 def op8_simhash(spark, sf_dir):
