@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, quality_rules, simhash
+from . import bpe, exact_dedup, licenses, mixing, quality_model, quality_rules, secrets, simhash, toxicity, url_filter
 
-_MODULES = [mixing, exact_dedup, bpe, quality_rules, simhash]
+_MODULES = [mixing, url_filter, exact_dedup, bpe, quality_rules, secrets, quality_model, simhash, licenses, toxicity]
 
 
 def queries() -> dict:
