@@ -18,7 +18,7 @@ from . import ftrl
 from .common import table
 
 FEATURES = ftrl.Features(bits=20, words=2, skips=(1, 2), shapes=0, lower=True)
-TRAINING = ftrl.Ftrl(alpha=0.2, l1=2.0, l2=0.5, epochs=4, positive_weight=2.0)
+TRAINING = ftrl.Ftrl(alpha=1.0, l1=15.0, l2=1.0, epochs=3, positive_weight=3.0)
 PREDICT_AT = 0.7
 MODULUS, HELD_OUT = 3, 1
 
