@@ -33,7 +33,7 @@ def read_patches(spark: SparkSession, path: str) -> DataFrame:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
         return spark.createDataFrame([], T.StructType([T.StructField("seq", T.LongType()), *schemas.PATCH.fields]))
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\n")).alias("seq", "line")).where(F.trim("line") != "")
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("seq", "line")).where(F.trim("line") != "")
     return lines.select(F.col("seq").cast("long").alias("seq"), F.from_json("line", schemas.PATCH, {"mode": "FAILFAST"}).alias("p")).select("seq", "p.*")
 
 
@@ -143,7 +143,7 @@ def lines_from_alto(pages: DataFrame) -> DataFrame:
 
 def read_alto(spark: SparkSession, path: str, name_pattern: str = r"([^/]+)-p0*(\d+)\.([^./]+)\.xml$") -> DataFrame:
     """A folder of layout files; edition, page and engine come from the file names."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("value").alias("xml"), F.input_file_name().alias("file"))
+    raw = spark.read.text(path, wholetext=True).select(F.col("value").alias("xml"), F.input_file_name().alias("file"))
     part = lambda k: F.regexp_extract("file", name_pattern, k)
     return lines_from_alto(raw.select(part(1).alias("edition"), part(2).cast("int").alias("source_page"), part(3).alias("engine"), "xml"))
 
@@ -241,7 +241,7 @@ _ARTIFACT = schemas.struct(source_page=I, entries=schemas.array(schemas.ENTRY),
 def read_page_artifacts(spark: SparkSession, root: str) -> DataFrame:
     """All ``parsed.json`` below ``root``: ``file``, ``artifact`` (null where it is no valid JSON) and the
     line assignments, whose tagged values come as ``kind`` and ``entry_id``."""
-    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "parsed.json").option("wholetext", True).text(root).select(F.col("_metadata.file_path").alias("file"), "value")
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "parsed.json").text(root, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     triples = F.from_json(F.col("artifact.assignments"), "array<array<string>>")
     out = raw.select("file", F.from_json("value", _ARTIFACT).alias("artifact"))
     each = F.transform(
