@@ -24,7 +24,7 @@ from .common import materialize
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 #: Bound on the labelled rows that training uses.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 6_000
 #: Token hashes remembered per worker.
 CACHED = 300_000
 ROWS = 64
