@@ -74,9 +74,9 @@ def test_upsert_last_wins(spark):
 
 
 def test_alto_round_trip(spark, tmp_path):
-    (tmp_path / "robinson-p001.kraken.xml").write_text(ALTO, encoding="utf-8")
+    (tmp_path / "first-p001.engine.xml").write_text(ALTO, encoding="utf-8")
     line = readers.read_alto(spark, f"file://{tmp_path}").first()
-    assert (line.edition, line.source_page, line.engine, line.text) == ("robinson", 1, "kraken", "per- ish")
+    assert (line.edition, line.source_page, line.engine, line.text) == ("first", 1, "engine", "per- ish")
     assert line.confidence == pytest.approx(0.95) and [w.confidence for w in line.words] == [pytest.approx(0.9), 1.0]
     again = readers.lines_from_alto(writers.alto_page(readers.read_alto(spark, f"file://{tmp_path}"))).first()
     assert again.text == "per ish" and (again.x, again.y, again.w, again.h) == (50, 100, 400, 45)

@@ -21,7 +21,7 @@ def make(spark, pages, size=(W, H), engine="primary"):
                 for k, t in enumerate(text.split()):
                     words.append((f"{line}-w{k}", t, 0.9, at, float(y), 40.0, float(h), None))
                     at += 50.0
-                rows.append(("robinson-1854", page, engine, size[0], size[1], r, region, *box, n, line, x, y, w, h, text, 0.9, polygon, words))
+                rows.append(("first-1854", page, engine, size[0], size[1], r, region, *box, n, line, x, y, w, h, text, 0.9, polygon, words))
     return spark.createDataFrame(rows, schemas.LINE).withColumns({"printed_page": F.col("source_page").cast("string"), "front_matter": F.lit(False)})
 
 
@@ -46,7 +46,7 @@ def test_headless_start_and_header(spark):
     out = layout.segment(lines).cache()
     assert shape(out) == [(None, [1]), ("אָב", [1])]
     assert out.where("line_id = 'header-line'").first().kind == "unparsed"
-    assert [r.entry_id for r in out.where("line_id = 'entry'").collect()] == ["robinson-1854:p1:e0002"]
+    assert [r.entry_id for r in out.where("line_id = 'entry'").collect()] == ["first-1854:p1:e0002"]
 
 
 def test_heading_then_paragraph(spark):
@@ -97,7 +97,7 @@ def test_front_matter_and_gap_in_pages(spark):
     lines = make(spark, {n: [("r", BOX, [(f"p{n}", (50, 200, 400, 45), "plain prose text")])] for n in (1, 2, 4)})
     lines = lines.withColumn("front_matter", F.col("source_page") == 1)
     out = {r.line_id: (r.kind, r.entry_id) for r in layout.segment(lines).collect()}
-    assert out == {"p1": ("front_matter", None), "p2": ("entry", "robinson-1854:p2:e0001"), "p4": ("entry", "robinson-1854:p4:e0001")}
+    assert out == {"p1": ("front_matter", None), "p2": ("entry", "first-1854:p2:e0001"), "p4": ("entry", "first-1854:p4:e0001")}
 
 
 def test_starred_headword(spark):
@@ -132,12 +132,12 @@ def test_run_builds_valid_entries(spark):
     entries, assignments = run.run(canonical, canonical, engines, {"printed_page_offset": -16}, context)
     entries = entries.cache()
     got = {e.id: e for e in entries.collect()}
-    assert sorted(got) == ["robinson-1854:p1:e0001", "robinson-1854:p1:e0002"]
-    assert got["robinson-1854:p1:e0002"].headword.id == "robinson-1854:p1:e0002:headword"
-    assert [len(b.spans) for b in got["robinson-1854:p1:e0002"].blocks] == [2]
+    assert sorted(got) == ["first-1854:p1:e0001", "first-1854:p1:e0002"]
+    assert got["first-1854:p1:e0002"].headword.id == "first-1854:p1:e0002:headword"
+    assert [len(b.spans) for b in got["first-1854:p1:e0002"].blocks] == [2]
     assert corpus.validate(entries).count() == 0
     assert assignments.count() == 4
     tables = writers.shred(entries)
     assert tables["spans"].count() == 6 and writers.check_tables(tables).agg(F.sum("broken")).first()[0] == 0
     assert corpus.search(corpus.search_index(entries), "father").count() == 1
-    assert entries.select(writers.tei_entry().alias("x")).where("x like '<entry xml:id=\"g_robinson-1854_3a_p1%'").count() == 2
+    assert entries.select(writers.tei_entry().alias("x")).where("x like '<entry xml:id=\"g_first-1854_3a_p1%'").count() == 2
