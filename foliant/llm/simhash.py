@@ -141,12 +141,14 @@ def _ball_edges(crowd: DataFrame, radius: int) -> DataFrame:
 
 
 def _wide_edges(points: DataFrame, crowd: DataFrame) -> DataFrame:
-    """Distance 3: a radius-2 ball of one meets the radius-1 ball of the other in some point.
+    """Distance 3: the radius-2 ball of one meets the radius-1 ball of the other in some point.
 
-    Both balls' members at a point are bounded (2081 and 65 for 64 bits).
+    All that come within 2 bits of a point are within 3 of any that come within 1, so linking them to
+    the least of the latter keeps the classes: one edge a listed point, no pairs.
     """
-    wide = crowd.select(F.col("fp").alias("g"), F.explode(_ball(F.col("fp"), 2)).alias("point"))
-    return points.join(wide, "point").where((F.col("fp") != F.col("g")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("g"))) <= 3)).select(F.least("fp", "g").alias("a"), F.greatest("fp", "g").alias("b")).distinct()
+    least = points.groupBy("point").agg(F.min("fp").alias("a"))
+    wide = crowd.select("fp", F.explode(_ball(F.col("fp"), 2)).alias("point"))
+    return wide.join(least, "point").where("fp <> a").select(F.least("fp", "a").alias("a"), F.greatest("fp", "a").alias("b")).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
