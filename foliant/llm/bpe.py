@@ -2,8 +2,8 @@
 
 A text is split by the tokenizer's pattern and each match is merged on its own.  Inside a match the
 bytes form a linked list.  Every adjacent pair that is a vocabulary entry waits in the bucket of its
-rank; a bitmap over ranks, with a bitmap over its words, and one over theirs, says which buckets hold
-anything, so find-first-set gives the next rank in three steps.  Merging changes two pairs; their old
+rank; a bitmap over ranks, with a bitmap over its words, says which buckets hold anything, so
+find-first-set gives the next rank in two steps.  Merging changes two pairs; their old
 entries stay and are skipped as stale when they come up.  The cost is that of the pairs ever formed,
 without a scan or a sort of the match, which suits very long ones (a run of a million letters).
 
@@ -19,6 +19,7 @@ name; repeated rows stay; special tokens are never recognised in a text.
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -36,7 +37,9 @@ CACHED_CHARS = 48
 CACHED = 200_000
 #: Rows handed to Arrow at a time, a bound on what one worker holds besides one text.
 ROWS = 64
-_WORD = 64
+#: Ranks per bitmap word, as a power of two.
+_SHIFT = 8
+_MASK = (1 << _SHIFT) - 1
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -45,86 +48,89 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank.  ``pop`` gives the least rank's leftmost position."""
+    """Positions by rank.  ``pop`` gives the least rank's leftmost position, ``None`` when empty.
+
+    Two levels: ``words`` holds a bit per rank, ``top`` a bit per non-empty word.  An empty queue can be
+    used again, so a codec keeps one.
+    """
+
+    __slots__ = ("buckets", "words", "top")
 
     def __init__(self, n_ranks: int):
         self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        n = n_ranks
-        while True:
-            n = -(-n // _WORD)
-            self.levels.append([0] * n)
-            if n == 1:
-                break
+        self.words = [0] * ((n_ranks >> _SHIFT) + 1)
+        self.top = 0
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is None:
             self.buckets[rank] = [position]
-            at = rank
-            for level in self.levels:
-                at, bit = divmod(at, _WORD)
-                was = level[at]
-                level[at] = was | (1 << bit)
-                if was:
-                    break
+            k = rank >> _SHIFT
+            self.words[k] |= 1 << (rank & _MASK)
+            self.top |= 1 << k
         else:
             heappush(bucket, position)
 
     def pop(self) -> tuple[int, int] | None:
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return None
-            at = at * _WORD + (word & -word).bit_length() - 1
-        bucket = self.buckets[at]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[at]
-            i = at
-            for level in self.levels:
-                i, bit = divmod(i, _WORD)
-                level[i] &= ~(1 << bit)
-                if level[i]:
-                    break
-        return at, position
-
-
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+        top = self.top
+        if not top:
+            return None
+        k = (top & -top).bit_length() - 1
+        word = self.words[k]
+        first = word & -word
+        rank = (k << _SHIFT) + first.bit_length() - 1
+        bucket = self.buckets[rank]
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self.buckets[rank]
+        self.words[k] = word = word ^ first
+        if not word:
+            self.top = top & (top - 1)
+        return rank, bucket[0]
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue | None = None) -> list[int]:
     """Token ids of one match: always merge the pair of least rank, leftmost first."""
-    whole = ranks.get(piece)
+    find = ranks.get
+    whole = find(piece)
     if whole is not None:
         return [whole]
+    queue = queue or RankQueue(len(ranks))
+    push, pop = queue.push, queue.pop
     n = len(piece)
     end = list(range(1, n + 1))  # the part that starts at i ends at end[i]; 0: i no longer starts a part
     previous = list(range(-1, n - 1))
-    queue = RankQueue(len(ranks) + 1)
     waits = [-1] * n  # rank of the pair that starts at i
     for i in range(n - 1):
-        r = ranks.get(piece[i : i + 2])
+        r = find(piece[i : i + 2])
         if r is not None:
             waits[i] = r
-            queue.push(r, i)
-
-    def renew(i: int) -> None:
-        j = end[i]
-        r = ranks.get(piece[i : end[j]]) if j < n else None
-        waits[i] = -1 if r is None else r
-        if r is not None:
-            queue.push(r, i)
-
-    while (top := queue.pop()) is not None:
-        rank, i = top
-        if waits[i] != rank or not end[i]:
+            push(r, i)
+    while (first := pop()) is not None:
+        rank, i = first
+        if waits[i] != rank:
             continue  # stale: one of the pair's parts has been merged since
         j = end[i]
-        end[i], end[j], waits[j] = end[j], 0, -1
-        if end[i] < n:
-            previous[end[i]] = i
-        renew(i)
-        if (h := previous[i]) >= 0:
-            renew(h)
+        stop = end[i] = end[j]
+        end[j], waits[j] = 0, -1
+        if stop < n:
+            previous[stop] = i
+            r = find(piece[i : end[stop]])
+            if r is None:
+                waits[i] = -1
+            else:
+                waits[i] = r
+                push(r, i)
+        else:
+            waits[i] = -1
+        h = previous[i]
+        if h >= 0:
+            r = find(piece[h:stop])
+            if r is None:
+                waits[h] = -1
+            else:
+                waits[h] = r
+                push(r, h)
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : end[i]]])
@@ -133,7 +139,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec:
-    """Encodes and decodes whole texts; remembers short matches."""
+    """Encodes and decodes whole texts; remembers short matches in two generations of bounded size."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
@@ -141,19 +147,24 @@ class Codec:
         self.parts = [b""] * (max(ranks.values(), default=-1) + 1)
         for part, rank in ranks.items():
             self.parts[rank] = part
+        self.queue = RankQueue(len(self.parts))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, match: str) -> bytes:
-        packed = np.array(merge(match.encode("utf-8"), self.ranks), "<i4").tobytes()
+        packed = self.older.get(match)
+        if packed is None:
+            ids = merge(match.encode("utf-8"), self.ranks, self.queue)
+            packed = array("i", ids).tobytes()
         if len(match) <= CACHED_CHARS:
             if len(self.known) >= CACHED:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[match] = packed
         return packed
 
     def encode(self, text: str) -> np.ndarray:
         get, ids = self.known.get, self._ids
-        return np.frombuffer(b"".join([get(m) or ids(m) for m in self.split(text)]), "<i4")
+        return np.frombuffer(b"".join([get(m) or ids(m) for m in self.split(text)]), np.int32)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.parts.__getitem__, ids))
