@@ -24,8 +24,8 @@ S, I = schemas.S, schemas.I
 
 
 def read_entries(spark: SparkSession, path: str) -> DataFrame:
-    """JSONL corpus, one file or a folder of ``*.jsonl``; a bad line fails the read.  Blank lines are skipped."""
-    return spark.read.schema(schemas.ENTRY).option("mode", "FAILFAST").option("pathGlobFilter", "*.jsonl").json(path)
+    """JSONL corpus: one file, a folder of ``*.jsonl``, or what ``write_entries`` wrote; a bad line fails the read."""
+    return spark.read.schema(schemas.ENTRY).option("mode", "FAILFAST").option("pathGlobFilter", "{*.jsonl,part-*}").json(path)
 
 
 def read_patches(spark: SparkSession, path: str) -> DataFrame:
