@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, row_key, table, without_rows
+from .common import KeyFilter, materialize, row_key, table, without_rows
 
 SEED = 42
 BITS = 64
@@ -144,11 +144,15 @@ def _wide_edges(points: DataFrame, crowd: DataFrame) -> DataFrame:
     """Distance 3: the radius-2 ball of one meets the radius-1 ball of the other in some point.
 
     All that come within 2 bits of a point are within 3 of any that come within 1, so linking them to
-    the least of the latter keeps the classes: one edge a listed point, no pairs.
+    the least of the latter keeps the classes: one edge a listed point, no pairs.  Of the 2,081 points
+    of a wide ball few are listed at all; those outside a bounded bitmap of listed points have no
+    partner and are not shuffled.
     """
     least = points.groupBy("point").agg(F.min("fp").alias("a"))
     wide = crowd.select("fp", F.explode(_ball(F.col("fp"), 2)).alias("point"))
-    return wide.join(least, "point").where("fp <> a").select(F.least("fp", "a").alias("a"), F.greatest("fp", "a").alias("b")).distinct()
+    key = F.xxhash64("point")
+    met = KeyFilter(points, key).mark(wide, key, "listed").where("listed").select("fp", "point")
+    return met.join(least, "point").where("fp <> a").select(F.least("fp", "a").alias("a"), F.greatest("fp", "a").alias("b")).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
