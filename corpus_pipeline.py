@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import bpe, exact_dedup, mixing, quality_rules, simhash
+from foliant.llm import bpe, exact_dedup, minhash, mixing, quality_rules
 from foliant.llm.common import materialize, table
 
 
@@ -23,8 +23,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays (five-word shingles)."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each near-duplicate group stays (Jaccard similarity of five-word shingles of 0.8)."""
+    return minhash.drop_similar(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
