@@ -41,8 +41,15 @@ def script_cer(reference: Column, hypothesis: Column) -> Column:
     return F.map_from_entries(F.filter(F.array(*pairs), lambda p: p.isNotNull()))
 
 
+def distance(left: Column, right: Column) -> Column:
+    """Edit distance; for equal lengths only the band within the number of differing places, which it cannot exceed."""
+    places = F.zip_with(F.split(left, ""), F.split(right, ""), lambda x, y: ~x.eqNullSafe(y))
+    differing = F.size(F.filter(places, lambda x: x))
+    return F.when(F.length(left) == F.length(right), F.call_function("levenshtein", left, right, differing)).otherwise(F.levenshtein(left, right))
+
+
 def disagreement(left: Column, right: Column) -> Column:
-    return F.least(rate(F.levenshtein(left, right), F.greatest(F.length(left), F.length(right))), F.lit(1.0))
+    return F.least(rate(distance(left, right), F.greatest(F.length(left), F.length(right))), F.lit(1.0))
 
 
 def box(polygon: Column) -> Column:

@@ -642,7 +642,7 @@ def review_queue(spark, d):
 
 
 def _corpus(spark, d):
-    """Documents as entries: one span per line (at most 200 characters each line's reading apart)."""
+    """Documents as entries: one span per line, whose two readings are the whole line and the line with letters confused."""
     from . import schemas
 
     docs = t(spark, d, "documents", "doc_id", "source", "lang", "text")
@@ -656,7 +656,7 @@ def _corpus(spark, d):
         return F.struct(
             ids.span_id(eid, k + 1).alias("id"), x.alias("diplomatic"), x.alias("normalized"), F.lit(None).cast("string").alias("language"), tx.classify_script(x).alias("script"), tx.infer_direction(x).alias("direction"),
             (F.lit(0.5) + (F.col("doc_id") % 5) / 10).cast("float").alias("confidence"), F.lit("machine").alias("review_state"),
-            F.array(reading("a", F.substring(x, 1, 40)), reading("b", F.replace(F.substring(x, 1, 40), F.lit("e"), F.lit("c")))).alias("hypotheses"), F.array(place).alias("coordinates"), F.array().cast(schemas.array(schemas.WARNING)).alias("warnings"),
+            F.array(reading("a", x), reading("b", F.replace(x, F.lit("e"), F.lit("c")))).alias("hypotheses"), F.array(place).alias("coordinates"), F.array().cast(schemas.array(schemas.WARNING)).alias("warnings"),
         )
 
     lines = F.filter(F.split("text", "\n"), lambda x: x != "")
