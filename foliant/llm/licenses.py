@@ -1,6 +1,7 @@
 """License scans by ordered signature rules (DataFrame functions only).
 
-A text that shows none of a few stems can hold no license wording and is done after one search.
+A text that shows none of the rules' keywords (their words apart by anything that is no word) can hold
+no license wording and is done after one search.
 Others are brought to normal form (lower-case words, single spaces) and met by some hundreds of
 regular expressions: license families times the forms in which a license is named.  Each rule has a
 keyword; only rules whose keyword occurs are run.  Every detection is an interval of words with a
@@ -81,7 +82,8 @@ FORMS = (
     ("copyright [^ ]+(?: [^ ]+){{0,6}} {name}", 2, 0.8),
     ("{name}", 1, 0.6),
 )
-_GATE = "(?i)licen[sc]|spdx|copyright|creative|public domain|rights reserved|\\bcc[ -](?:0|by)|cc0|gpl|openrail|cddl|eupl|wtfpl|\\bmpl\\b|\\bbsd\\b"
+#: Over the raw text: some rule's keyword or a base phrase may stand in it (its words with any break between).
+_GATE = "(?i)" + "|".join(sorted({k.replace(" ", NOT_WORD) for k in [keyword for _, keyword, _ in FAMILIES] + [phrase for phrase, _ in BASE]}))
 _NEEDS_FORM = {"mit", "apache", "python"}
 
 
