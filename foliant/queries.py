@@ -591,6 +591,12 @@ def search_term(spark, d):
     return t(spark, d, "documents", "text").select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("documents")).where("documents > 3")
 
 
+@query()
+def search_index(spark, d):
+    """Documents per term of the inverted index: all tokens of letters and digits, however short or rare."""
+    return corpus.search_index(_corpus(spark, d)).groupBy("term").agg(F.count_distinct("entry_id").alias("documents"))
+
+
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
 def first_seen(spark, d):
     """First occurrence per key, by a pre-aggregated minimum."""
