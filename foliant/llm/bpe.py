@@ -1,11 +1,13 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A text is split by the tokenizer's pattern and each match is merged on its own.  Inside a match the
-bytes form a linked list.  Every adjacent pair that is a vocabulary entry waits in the bucket of its
-rank; a bitmap over ranks, with a bitmap over its words, says which buckets hold anything, so
-find-first-set gives the next rank in two steps.  Merging changes two pairs; their old
-entries stay and are skipped as stale when they come up.  The cost is that of the pairs ever formed,
-without a scan or a sort of the match, which suits very long ones (a run of a million letters).
+A text is split by the tokenizer's pattern and each match is merged on its own.  The bytes of all the
+matches that a block of rows shows for the first time stand in one linked list, cut between matches.
+Every adjacent pair that makes a vocabulary entry waits in the bucket of its rank; a bitmap over
+ranks, with a bitmap over its words, says which buckets hold anything, so find-first-set gives the
+next rank in two steps, and the bucket is worked off from left to right.  Merging changes two pairs;
+their old entries stay and are skipped as stale when they come up.  If a merge forms a pair of lesser
+rank, the rest of the bucket waits again.  The cost is that of the pairs ever formed, without a scan
+or a sort of the match, which suits very long ones (a run of a million letters).
 
 Matches repeat, so short ones are remembered in a dictionary of bounded size.
 
@@ -13,18 +15,21 @@ The vocabulary is a public rank file whose path is a parameter; the driver reads
 travel in the closure (about 1 MB, fixed by the file).
 
 Defined cases: null text counts as empty and gives an empty array; other columns are carried by
-name; repeated rows stay; special tokens are never recognised in a text.
+name, and if one of them is called ``token_ids`` (or ``decoded``) they stay in a struct ``r`` beside
+the result; repeated rows stay; special tokens are never recognised in a text.
 """
 
 from __future__ import annotations
 
 import base64
-from array import array
+from collections import ChainMap
+from collections.abc import Iterator
 from functools import lru_cache
-from heapq import heappop, heappush
+from sys import byteorder
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +39,9 @@ from .common import table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Matches longer than this are not remembered; so many are remembered at most.
 CACHED_CHARS = 48
-CACHED = 200_000
-#: Rows handed to Arrow at a time, a bound on what one worker holds besides one text.
-ROWS = 64
+CACHED = 250_000
+#: Rows and characters of a block, a bound on what one worker holds besides one text.
+ROWS, CHARS = 256, 1 << 20
 #: Ranks per bitmap word, as a power of two.
 _SHIFT = 8
 _MASK = (1 << _SHIFT) - 1
@@ -48,7 +53,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank.  ``pop`` gives the least rank's leftmost position, ``None`` when empty.
+    """Positions by rank.  ``pop`` gives the least rank and its positions from left to right, ``None`` when empty.
 
     Two levels: ``words`` holds a bit per rank, ``top`` a bit per non-empty word.  An empty queue can be
     used again, so a codec keeps one.
@@ -61,113 +66,174 @@ class RankQueue:
         self.words = [0] * ((n_ranks >> _SHIFT) + 1)
         self.top = 0
 
+    def put(self, rank: int, positions: list[int]) -> None:
+        """A bucket for a rank that has none."""
+        self.buckets[rank] = positions
+        k = rank >> _SHIFT
+        self.words[k] |= 1 << (rank & _MASK)
+        self.top |= 1 << k
+
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is None:
-            self.buckets[rank] = [position]
-            k = rank >> _SHIFT
-            self.words[k] |= 1 << (rank & _MASK)
-            self.top |= 1 << k
+            self.put(rank, [position])
         else:
-            heappush(bucket, position)
+            bucket.append(position)
 
-    def pop(self) -> tuple[int, int] | None:
+    def pop(self) -> tuple[int, list[int]] | None:
         top = self.top
         if not top:
             return None
         k = (top & -top).bit_length() - 1
         word = self.words[k]
         first = word & -word
-        rank = (k << _SHIFT) + first.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
         self.words[k] = word = word ^ first
         if not word:
             self.top = top & (top - 1)
-        return rank, bucket[0]
-
-
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue | None = None) -> list[int]:
-    """Token ids of one match: always merge the pair of least rank, leftmost first."""
-    find = ranks.get
-    whole = find(piece)
-    if whole is not None:
-        return [whole]
-    queue = queue or RankQueue(len(ranks))
-    push, pop = queue.push, queue.pop
-    n = len(piece)
-    end = list(range(1, n + 1))  # the part that starts at i ends at end[i]; 0: i no longer starts a part
-    previous = list(range(-1, n - 1))
-    waits = [-1] * n  # rank of the pair that starts at i
-    for i in range(n - 1):
-        r = find(piece[i : i + 2])
-        if r is not None:
-            waits[i] = r
-            push(r, i)
+        rank = (k << _SHIFT) + first.bit_length() - 1
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
+
+
+class Vocabulary:
+    """Ranks of byte strings, and the rank that two adjacent tokens make together."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.size = max(ranks.values(), default=-1) + 1
+        self.parts = [b""] * self.size
+        for part, rank in ranks.items():
+            self.parts[rank] = part
+        self.byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
+        self.pairs: dict[int, int] = {}
+        find = ranks.get
+        for part, rank in ranks.items():
+            for k in range(1, len(part)):
+                a, b = find(part[:k]), find(part[k:])
+                if a is not None and b is not None:
+                    self.pairs[a * self.size + b] = rank
+        #: rank of two bytes, -1 for none
+        self.two = np.array([[ranks.get(bytes([i, j]), -1) for j in range(256)] for i in range(256)], np.int32)
+        self.queue = RankQueue(self.size)
+
+
+def merge_all(pieces: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
+    """Token ids of each match, packed as 32-bit numbers: always merge its pair of least rank, leftmost first."""
+    size, find, queue = vocabulary.size, vocabulary.pairs.get, vocabulary.queue
+    buckets, put, pop = queue.buckets, queue.put, queue.pop
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    n = len(data)
+    ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+    token = vocabulary.byte[data].tolist()
+    following, preceding = np.arange(1, n + 1), np.arange(-1, n - 1)
+    inner = ends[(ends > 0) & (ends < n)]
+    following[inner - 1] = n
+    preceding[inner] = -1
+    after = following.tolist()  # the part that follows in the same match; n: none
+    before = preceding.tolist()  # the one in front; -1: none
+    pairs = np.full(n + 1, -1, np.int32)
+    if n > 1:
+        pairs[: n - 1] = vocabulary.two[data[:-1], data[1:]]
+        pairs[inner - 1] = -1
+    waits = pairs.tolist()  # rank of the pair that starts at i
+    order = np.argsort(pairs, kind="stable")
+    order = order[np.searchsorted(pairs[order], 0) :]
+    starts = np.flatnonzero(np.diff(pairs[order], prepend=-1)).tolist()
+    for low, high in zip(starts, [*starts[1:], len(order)]):
+        put(int(pairs[order[low]]), order[low:high].tolist())
     while (first := pop()) is not None:
-        rank, i = first
-        if waits[i] != rank:
-            continue  # stale: one of the pair's parts has been merged since
-        j = end[i]
-        stop = end[i] = end[j]
-        end[j], waits[j] = 0, -1
-        if stop < n:
-            previous[stop] = i
-            r = find(piece[i : end[stop]])
-            if r is None:
-                waits[i] = -1
+        rank, positions = first
+        base = rank * size
+        for k, i in enumerate(positions):
+            if waits[i] != rank:
+                continue  # stale: one of the pair's parts has been merged since
+            j = after[i]
+            token[i] = rank
+            token[j] = waits[j] = -1
+            stop = after[i] = after[j]
+            less = False
+            if stop < n:
+                before[stop] = i
+                r = find(base + token[stop])
+                if r is None:
+                    waits[i] = -1
+                else:
+                    waits[i] = r
+                    if r in buckets:
+                        buckets[r].append(i)
+                    else:
+                        put(r, [i])
+                        less = r < rank
             else:
-                waits[i] = r
-                push(r, i)
-        else:
-            waits[i] = -1
-        h = previous[i]
-        if h >= 0:
-            r = find(piece[h:stop])
-            if r is None:
-                waits[h] = -1
-            else:
-                waits[h] = r
-                push(r, h)
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i : end[i]]])
-        i = end[i]
-    return out
+                waits[i] = -1
+            h = before[i]
+            if h >= 0:
+                r = find(token[h] * size + rank)
+                if r is None:
+                    waits[h] = -1
+                else:
+                    waits[h] = r
+                    if r in buckets:
+                        buckets[r].append(h)
+                    else:
+                        put(r, [h])
+                        less = less or r < rank
+            if less:
+                if rest := positions[k + 1 :]:
+                    put(rank, rest)
+                break
+    merged = np.array(token, np.int32)
+    stays = merged >= 0
+    packed = merged[stays].tobytes()
+    cuts = (4 * np.concatenate([[0], np.cumsum(stays)])[np.concatenate([[0], ends])]).tolist()
+    return [packed[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 class Codec:
     """Encodes and decodes whole texts; remembers short matches in two generations of bounded size."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+        self.vocabulary = Vocabulary(ranks)
         self.split = regex.compile(pattern).findall
-        self.parts = [b""] * (max(ranks.values(), default=-1) + 1)
-        for part, rank in ranks.items():
-            self.parts[rank] = part
-        self.queue = RankQueue(len(self.parts))
+        self.parts = pa.array(self.vocabulary.parts, pa.binary())
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ids(self, match: str) -> bytes:
-        packed = self.older.get(match)
-        if packed is None:
-            ids = merge(match.encode("utf-8"), self.ranks, self.queue)
-            packed = array("i", ids).tobytes()
-        if len(match) <= CACHED_CHARS:
-            if len(self.known) >= CACHED:
-                self.older, self.known = self.known, {}
-            self.known[match] = packed
-        return packed
-
-    def encode(self, text: str) -> np.ndarray:
-        get, ids = self.known.get, self._ids
-        return np.frombuffer(b"".join([get(m) or ids(m) for m in self.split(text)]), np.int32)
-
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.parts.__getitem__, ids))
+    def _learn(self, matches: set[str]) -> dict[str, bytes]:
+        """Packed ids of matches that are not known: from the older generation, the vocabulary or merged."""
+        older, whole = self.older, self.vocabulary.ranks.get
+        fresh = {m: older[m] for m in matches if m in older}
+        unseen, pieces = [], []
+        for m in matches.difference(fresh):
+            piece = m.encode("utf-8")
+            rank = whole(piece)
+            if rank is None:
+                unseen.append(m)
+                pieces.append(piece)
+            else:
+                fresh[m] = rank.to_bytes(4, byteorder)
+        fresh.update(zip(unseen, merge_all(pieces, self.vocabulary)))
+        return fresh
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text.  What one block of texts is the first to show is merged in one go."""
+        if len(self.known) >= CACHED:
+            self.older, self.known = self.known, {}
+        known, split_texts = self.known, list(map(self.split, texts))
+        unknown = set().union(*split_texts)
+        unknown.difference_update(known)
+        fresh = self._learn(unknown)
+        known.update((m, ids) for m, ids in fresh.items() if len(m) <= CACHED_CHARS)
+        get = (known if fresh.keys() <= known.keys() else ChainMap(known, fresh)).__getitem__
+        return [np.frombuffer(b"".join(map(get, matches)), np.int32) for matches in split_texts]
+
+    def decode(self, lists: pa.Array) -> pa.Array:
+        """The bytes of each list of ids; a null list gives no bytes."""
+        flat = lists.flatten()
+        lengths = pc.fill_null(pc.list_value_length(lists), 0)
+        offsets = np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False))]).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), self.parts.take(flat)), b"")
 
 
 @lru_cache(maxsize=2)
@@ -182,6 +248,18 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32, copy=False)))
 
 
+def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, rows) of blocks of at most ``ROWS`` rows and ``CHARS`` bytes, one row at least."""
+    at, rows, held = 0, 0, 0
+    for size in pc.fill_null(pc.binary_length(texts), 0).to_pylist():
+        if rows and (rows == ROWS or held + size > CHARS):
+            yield at, rows
+            at, rows, held = at + rows, 0, 0
+        rows, held = rows + 1, held + size
+    if rows:
+        yield at, rows
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``carry`` columns (default all) and ``token_ids`` (array of int) of every whole text."""
     with open(vocabulary, "rb") as f:
@@ -193,10 +271,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text"
     def run(batches):
         codec = _codec(items, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                texts = batch.column(0).slice(at, ROWS)
-                ids = [codec.encode(x.as_py() or "") for x in texts]
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, ROWS), _lists(ids)], ["r", "ids"])
+            for at, n in _blocks(batch.column(0)):
+                ids = codec.encode([x or "" for x in batch.column(0).slice(at, n).to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, n), _lists(ids)], ["r", "ids"])
 
     out = source.mapInArrow(run, f"r {kind}, ids array<int>")
     clash = "token_ids" in [f.name for f in source.schema["_row"].dataType.fields]
@@ -214,11 +291,11 @@ def decode(tokens: DataFrame, vocabulary: str, *, ids: str = "token_ids", carry:
         codec = _codec(items, "")
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                part = batch.column(0).slice(at, ROWS)
-                out = [codec.decode((x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32)).tolist()) for x in part]
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, ROWS), pa.array(out, pa.binary())], ["r", "decoded"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, ROWS), codec.decode(batch.column(0).slice(at, ROWS))], ["r", "decoded"])
 
-    return source.mapInArrow(run, f"r {kind}, decoded binary").select("r.*", "decoded")
+    out = source.mapInArrow(run, f"r {kind}, decoded binary")
+    clash = "decoded" in [f.name for f in source.schema["_row"].dataType.fields]
+    return out.select("r", "decoded") if clash else out.select("r.*", "decoded")
 
 
 def op4_bpe(spark, sf_dir):

@@ -169,7 +169,16 @@ def test_bpe_is_tiktoken(spark):
     codec, rnd = bpe.Codec(ranks, P.PATTERN), random.Random(1)
     for _ in range(200):
         t = "".join(rnd.choice(rnd.choice(["aaaa", "abcdefgh", "THEthe ", "éèñ漢字", " \n\t", "0123", "!?#", "'s't", "<|endoftext|>"])) for _ in range(rnd.choice([4, 40, 900])))
-        assert codec.encode(t).tolist() == own.encode_ordinary(t)
+        assert codec.encode([t])[0].tolist() == own.encode_ordinary(t)
+    # a run of a million letters, and vocabularies in which a merge forms a pair of lesser rank
+    t = "ab" * 300_000 + "x" * 400_000
+    assert codec.encode(["", t])[1].tolist() == own.encode_ordinary(t)
+    for _ in range(300):
+        parts = ["".join(rnd.choice("ab") for _ in range(rnd.randrange(2, 5))) for _ in range(12)]
+        odd = {bytes([i]): i for i in range(256)} | {x.encode(): 256 + k for k, x in enumerate(dict.fromkeys(parts))}
+        other, brute = bpe.Codec(odd, P.PATTERN), tiktoken.Encoding("odd", pat_str=P.PATTERN, mergeable_ranks=odd, special_tokens={})
+        texts = [" ".join("".join(rnd.choice("ab") for _ in range(rnd.randrange(1, 40))) for _ in range(8)) for _ in range(3)]
+        assert [x.tolist() for x in other.encode(texts)] == [brute.encode_ordinary(x) for x in texts]
     assert bpe.encode(table(spark).where("false"), path, P.PATTERN).count() == 0
 
 
@@ -178,7 +187,19 @@ def test_rank_queue_order():
     pushed = [(rnd.randrange(50_000), i) for i in range(3000)] + [(7, 5000), (7, 4000)]
     for r, p in pushed:
         q.push(r, p)
-    assert [q.pop() for _ in pushed] == sorted(pushed) and q.pop() is None
+    popped = []
+    while (got := q.pop()) is not None:
+        popped += [(got[0], p) for p in got[1]]
+    assert popped == sorted(pushed) and q.top == 0 and not any(q.words) and not q.buckets
+
+
+def test_bpe_columns_that_clash(spark):
+    path = P.path(bpe.VOCABULARY)
+    df = spark.createDataFrame([(1, None, 5, 6), (1, None, 5, 6), (2, "two words", 7, 8)], "doc_id long, text string, token_ids int, decoded int")
+    ids = bpe.encode(df, path, P.PATTERN)
+    assert ids.columns == ["r", "token_ids"] and sorted(len(x.token_ids) for x in ids.collect()) == [0, 0, 2]
+    out = bpe.decode(ids, path, carry=["r"]).collect()
+    assert sorted((x.r.doc_id, x.r.decoded, bytes(x.decoded)) for x in out) == [(1, 6, b""), (1, 6, b""), (2, 8, b"two words")]
 
 
 # ---- 5 ---------------------------------------------------------------------------------------------------
