@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 #: White space in every contract of this subpackage.
 SPACE = "\\x20\\x09-\\x0D"
 WORD = f"[^{SPACE}]+"
+#: Seed of every XXH64 over shingles.
+SEED = 42
+_WORDS = re.compile(WORD).findall
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _SPACE_CHARS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 
@@ -60,6 +65,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def words_of(text: str | None) -> list[str]:
+    """Words of one text with A-Z lower-cased."""
+    return _WORDS((text or "").translate(_LOWER))
+
+
 def without_space(text: Column) -> Column:
     """``text`` less every character of ``[\\x20\\x09-\\x0D]`` (plain byte search, no regex)."""
     for c in _SPACE_CHARS:
@@ -120,3 +130,29 @@ def without_rows(docs: DataFrame, gone: DataFrame, doc_id: str, text: str) -> Da
     g = gone.select(F.col("key_id").alias("g_id"), F.col("key_hash").alias("g_hash"))
     match = F.col("key_id").eqNullSafe(F.col("g_id")) & (F.col("key_hash") == F.col("g_hash"))
     return marked.where("not maybe").select("row.*").unionByName(marked.where("maybe").join(g, match, "left_anti").select("row.*"))
+
+
+def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """``(node, root)`` for every node with an edge; ``root`` is its class's least node.
+
+    Alternating large-star and small-star steps (Kiveris et al. 2014): each keeps the classes, never
+    grows the number of edges, and O(log^2) rounds leave stars.  A node's neighbours are never
+    gathered: the least one comes from a pre-aggregated ``min``.
+    """
+    e = materialize(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    before = None
+    for _ in range(max_rounds):
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("a"), F.min("b")).alias("m"))
+        large = both.join(least, F.col("a") == F.col("n")).where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+        least = large.groupBy(F.col("b").alias("n")).agg(F.min("a").alias("m"))
+        small = large.join(least, F.col("b") == F.col("n")).select("a", "b", "m")
+        e = materialize(
+            small.select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(),
+            "edges",
+        )
+        now = e.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("decimal(38,0)"))).first()
+        if now == before:
+            return e.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(e.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+        before = now
+    raise RuntimeError("components did not settle")

@@ -1,56 +1,63 @@
-"""Near-duplicates by the Jaccard similarity of word-shingle sets: MinHash candidates, exact decision.
+"""Links by the Jaccard similarity of word-shingle sets: minima as candidates, the sets as decision.
+
+The search of near copies beyond a SimHash's reach, used by :func:`simhash.drop_near_duplicates`.
 
 Every text gets ``BANDS`` keys, each over ``ROWS`` minima of independently seeded hashes of its shingle
 set.  Texts that share a key are candidates; two of similarity s do so with probability
-1 - (1 - s**ROWS)**BANDS (0.9993 at 0.8).  Candidates are decided by the sets themselves:
+1 - (1 - s**ROWS)**BANDS (0.9993 at 0.8).  Every candidate pair is decided, by the sets themselves, or
+lies in one class already:
 
-* neighbours in a key's order (by the text's next key) are compared first, ``reach`` of them a row, and
-  linked texts form classes;
-* where a key with more members than that still holds several classes, all its pairs from different
-  classes are compared, so no candidate pair is left undecided unless its texts are one class already.
+* A key's *hub* is the member that shares most with others (the sum of its keys' sizes), in a crowd of
+  copies usually their common original.  Each member is compared with its key's hub: as many pairs as
+  members, found by pre-aggregated maxima, so no key is gathered anywhere.
+* Where a key still holds several classes, its members outside the hub's class meet those of other
+  classes.  The join itself holds them against an upper bound of the intersection and makes rows of
+  the few pairs that may be similar enough.
 
-A bitmap of a set's hashes bounds an intersection from above, |A & B| <= |A| - bits of A not in B, and
-spares most pairs that are too far apart the join with the sets.
+The bound comes from bitmaps of the sets' hashes: |A & B| <= |A| less the bits of A that B lacks.
 
 Defined cases: null or word-free texts have the set of one empty shingle; fewer words than a shingle make
-one shingle of them all; rows equal in id and text are one document.
+one shingle of them all; rows equal in id and text are one node.
 """
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import KeyFilter, materialize, row_key, without_rows
-from .simhash import _LOWER, _WORD, SEED, components
+from .common import SEED, KeyFilter, components, materialize, words_of
 
 ROWS, BANDS = 6, 24
 #: 64-bit words of a set's bitmap.
-WORDS = 8
+WORDS = 16
 #: Shingles hashed at a time, which bounds the matrix of minima.
 BLOCK = 1 << 11
+#: Texts handed to Arrow at a time.
+BATCH = 256
 _rng = np.random.default_rng(SEED)
 _FACTOR = _rng.integers(1, 1 << 63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
 _TERM = _rng.integers(0, 1 << 63, ROWS * BANDS, np.uint64)
 
 
-def shingles(text: str | None, shingle: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles."""
-    words = _WORD.findall((text or "").translate(_LOWER))
+def hashes(text: str | None, shingle: int) -> np.ndarray:
+    """64-bit hashes of a text's word shingles, repeats included."""
+    words = words_of(text)
     n = max(1, len(words) - shingle + 1)
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(" ".join(words[i : i + shingle]), SEED) for i in range(n)), np.uint64, n))
+    return np.fromiter((digest(" ".join(words[i : i + shingle]), SEED) for i in range(n)), np.uint64, n)
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """The set's ``BANDS`` keys."""
+def bands(distinct: np.ndarray) -> np.ndarray:
+    """The ``BANDS`` keys of a set of hashes."""
     least = np.full(ROWS * BANDS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), BLOCK):
-        x = hashes[at : at + BLOCK, None] * _FACTOR + _TERM
+    for at in range(0, len(distinct), BLOCK):
+        x = distinct[at : at + BLOCK, None] * _FACTOR + _TERM
         x ^= x >> np.uint64(32)
         x *= np.uint64(0x9E3779B97F4A7C15)
         np.minimum(least, x.min(0), out=least)
@@ -58,28 +65,42 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(raw[k].tobytes(), k) for k in range(BANDS)], np.uint64)
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    bit = hashes % np.uint64(64 * WORDS)
+def bitmap(distinct: np.ndarray) -> np.ndarray:
+    bit = distinct % np.uint64(64 * WORDS)
     out = np.zeros(WORDS, np.uint64)
     np.bitwise_or.at(out, (bit // np.uint64(64)).astype(int), np.uint64(1) << bit % np.uint64(64))
     return out
 
 
-def _per_text(keyed: DataFrame, shingle: int, columns: str, make) -> DataFrame:
-    """``node`` and what ``make`` gives for the shingle set of ``text``, as ``columns``."""
+def per_text(keyed: DataFrame, shingle: int, fields: str, make) -> DataFrame:
+    """``node`` and the columns that ``make`` gives for the shingle hashes of ``text``: one row a text."""
     source = keyed.select("node", "text")
-    kind = source.schema["node"].dataType.simpleString()
-    types = [pa.list_(pa.int64()) if "array" in c else pa.int32() for c in columns.split(", ")]
+    node = source.schema["node"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                made = zip(*(make(shingles(x.as_py(), shingle)) for x in part.column(1)))
-                arrays = [pa.array(list(v), t) for v, t in zip(made, types)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], ["node", *[c.split(" ")[0] for c in columns.split(", ")]])
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                named = make([hashes(x.as_py(), shingle) for x in part.column(1)])
+                yield pa.RecordBatch.from_arrays([part.column(0), *named.values()], ["node", *named])
+
+    return source.mapInArrow(run, f"node {node}, {fields}")
+
+
+_SET_FIELDS = f"n int, bits struct<ones:int, {', '.join(f'w{k}:bigint' for k in range(WORDS))}>, hashes array<bigint>"
 
-    return source.mapInArrow(run, f"node {kind}, {columns}")
+
+def _sets(rows: list[np.ndarray]) -> dict[str, pa.Array]:
+    sets = [np.unique(x) for x in rows]
+    sizes = np.array([len(s) for s in sets], np.int32)
+    maps = np.array([bitmap(s) for s in sets], np.uint64).reshape(-1, WORDS)
+    ones = np.bitwise_count(maps).sum(1, dtype=np.int32)
+    flat = np.concatenate(sets).view(np.int64)
+    return {
+        "n": pa.array(sizes),
+        "bits": pa.StructArray.from_arrays([pa.array(ones), *[pa.array(maps[:, k].view(np.int64)) for k in range(WORDS)]], ["ones", *[f"w{k}" for k in range(WORDS)]]),
+        "hashes": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat)),
+    }
 
 
 def _needed(similarity: float, m: Column, n: Column) -> Column:
@@ -87,56 +108,59 @@ def _needed(similarity: float, m: Column, n: Column) -> Column:
     return F.ceil((m + n) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9))
 
 
+def _may_reach(needed: Column, m: Column, n: Column, x: Column, y: Column) -> Column:
+    """Whether sets of ``m`` and ``n`` with bitmaps ``x`` and ``y`` may share as much as needed.
+
+    Few terms, so that the generated method stays small enough to be compiled.
+    """
+    both = reduce(operator.add, [F.bit_count(x[f"w{k}"].bitwiseAND(y[f"w{k}"])) for k in range(WORDS)])
+    return (F.least(m, n) >= needed) & (both >= needed + F.greatest(x["ones"] - m, y["ones"] - n))
+
+
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets have at least the similarity."""
     side = lambda k, *c: sets.select(F.col("node").alias(k), *[F.col(x).alias(f"{x}_{k}") for x in c])
     met = pairs.distinct().join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-    needed = _needed(similarity, F.col("n_a"), F.col("n_b"))
-    only = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, c: s + c)
-    least = F.least(F.col("n_a") - only("bits_a", "bits_b"), F.col("n_b") - only("bits_b", "bits_a"))
-    close = materialize(met.where(least >= needed).select("a", "b", needed.alias("needed")), "minhash-close")
-    whole = close.join(side("a", "set"), "a").join(side("b", "set"), "b")
-    return materialize(whole.where(F.size(F.array_intersect("set_a", "set_b")) >= F.col("needed")).select("a", "b"), "minhash-similar")
-
-
-def links(keyed: DataFrame, similarity: float, shingle: int, reach: int = 2) -> DataFrame:
-    """Edges ``(a, b)`` of ``keyed(node, text)``, ``a < b``: their classes are those of the candidates
-    that have at least the similarity."""
-    made = materialize(_per_text(keyed, shingle, "bands array<bigint>", lambda s: (bands(s).view(np.int64).tolist(),)), "minhash-bands")
-    exploded = made.select("node", "bands", F.posexplode("bands").alias("band", "value")).select(
-        "node", "band", "value", F.get("bands", (F.col("band") + 1) % BANDS).alias("next")
-    )
-    key = Window.partitionBy("band", "value")
-    order = key.orderBy("next", "node")
-    near = F.filter(F.array(*[F.lag("node", i).over(order) for i in range(1, reach + 1)]), lambda x: x.isNotNull())
-    beyond = F.lag("node", reach + 1).over(order).isNotNull() | F.lead("node", reach + 1).over(order).isNotNull()
-    alone = F.lag("node", 1).over(order).isNull() & F.lead("node", 1).over(order).isNull()
-    # with reach 2, "beyond" misses the middle rows of keys of four and five members, hence the count
-    rows = exploded.select("node", "band", "value", near.alias("near"), alone.alias("alone"), (beyond | (F.count(F.lit(1)).over(key) > reach + 1)).alias("crowded"))
-    members = materialize(rows.where("not alone").drop("alone"), "minhash-members")
-    nodes = materialize(members.select("node").distinct(), "minhash-nodes")
+    met = met.withColumn("needed", _needed(similarity, F.col("n_a"), F.col("n_b")))
+    close = materialize(met.where(_may_reach(F.col("needed"), F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b"))).select("a", "b", "needed"), "near-close")
+    whole = close.join(side("a", "hashes"), "a").join(side("b", "hashes"), "b")
+    return materialize(whole.where(F.size(F.array_intersect("hashes_a", "hashes_b")) >= F.col("needed")).select("a", "b"), "near-similar")
+
+
+def _ordered(df: DataFrame, x: Column, y: Column) -> DataFrame:
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a <> b")
+
+
+def links(keyed: DataFrame, signed: DataFrame, also: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Edges ``(a, b)``, ``a < b``, whose classes are those of all candidates of enough similarity.
+
+    ``keyed(node, text)``; ``signed(node, bands)`` of the same nodes; ``also(a, b)``: pairs to decide besides.
+    """
+    listed = signed.select("node", F.posexplode("bands").alias("band", "value"))
+    slot = F.xxhash64("band", "value")
+    keys = materialize(listed.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "near-keys")
+    again = KeyFilter(keys, slot).mark(listed, slot, "again").where("again").drop("again").join(keys, ["band", "value"])
+    # at most BANDS keys a node, so this gathers no group
+    of_node = again.groupBy("node").agg(F.sum("members").alias("shared"), F.collect_set(F.struct("band", "value")).alias("keys"))
+    members = materialize(of_node.select("node", "shared", F.explode("keys").alias("key")).select("node", "shared", "key.band", "key.value"), "near-members")
+    hubs = members.groupBy("band", "value").agg(F.max(F.struct("shared", "node")).alias("hub")).select("band", "value", "hub.node")
+    hubs = materialize(hubs.withColumnRenamed("node", "hub"), "near-hubs")
+    star = _ordered(members.join(hubs, ["band", "value"]), F.col("node"), F.col("hub"))
+    nodes = materialize(members.select("node").unionByName(also.select(F.explode(F.array("a", "b")).alias("node"))).distinct(), "near-nodes")
     hashed = F.xxhash64("node")
     texts = KeyFilter(nodes, hashed).mark(keyed, hashed, "listed").where("listed")
-    sets = materialize(
-        _per_text(texts, shingle, "n int, bits array<bigint>, set array<bigint>", lambda s: (len(s), bitmap(s).view(np.int64).tolist(), s.view(np.int64).tolist())).dropDuplicates(["node"]),
-        "minhash-sets",
-    )
-    ordered = lambda df, x, y: df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a <> b")
-    first = similar(ordered(members.select("node", F.explode("near").alias("other")), F.col("node"), F.col("other")), sets, similarity)
+    sets = materialize(per_text(texts, shingle, _SET_FIELDS, _sets).dropDuplicates(["node"]), "near-sets")
+    first = similar(star.unionByName(also), sets, similarity)
     tree = components(first)
-    crowd = members.where("crowded").select("node", "band", "value").join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    crowd = crowd.join(sets.select("node", "n"), "node")
+    crowd = members.join(tree, "node", "left").select("band", "value", "node", F.coalesce("root", "node").alias("root"))
+    hub_root = hubs.join(tree.withColumnRenamed("node", "hub"), "hub", "left").select("band", "value", "hub", F.coalesce("root", "hub").alias("hub_root"))
     mixed = crowd.groupBy("band", "value").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("band", "value")
-    crowd = materialize(crowd.join(mixed, ["band", "value"]), "minhash-crowd")
-    x, y = crowd.alias("x"), crowd.alias("y")
-    fits = F.least("x.n", "y.n") >= _needed(similarity, F.col("x.n"), F.col("y.n"))
-    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & fits)
-    return first.unionByName(similar(across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), sets, similarity))
-
-
-def drop_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` less all but one of each class of similar texts (the smallest id stays)."""
-    key_id, key_hash = row_key(docs, doc_id, text)
-    node = F.struct(key_id.isNull().alias("n"), key_id.alias("key_id"), key_hash.alias("key_hash"))
-    tree = components(links(docs.select(node.alias("node"), docs[text].cast("string").alias("text")), similarity, shingle))
-    return without_rows(docs, tree.where("node <> root").select("node.key_id", "node.key_hash"), doc_id, text)
+    crowd = crowd.join(hub_root.join(mixed, ["band", "value"]), ["band", "value"]).where("node <> hub")
+    crowd = materialize(crowd.join(sets.select("node", "n", "bits"), "node").withColumn("outside", F.col("root") != F.col("hub_root")), "near-crowd")
+    x, y = crowd.where("outside").alias("x"), crowd.alias("y")
+    needed = _needed(similarity, F.col("x.n"), F.col("y.n"))
+    across = (
+        (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.root") != F.col("y.root"))
+        & (~F.col("y.outside") | (F.col("x.node") < F.col("y.node"))) & _may_reach(needed, F.col("x.n"), F.col("y.n"), F.col("x.bits"), F.col("y.bits"))
+    )
+    return first.unionByName(similar(_ordered(x.join(y, across), F.col("x.node"), F.col("y.node")), sets, similarity))

@@ -9,15 +9,19 @@ wild-carded; such a pair then meets under at least one equal key, and every meet
 Only *distinct* fingerprints are indexed (copies of a text are one row by then).  Equal keys are met
 by a window over the sorted keys that compares each fingerprint with its next few neighbours, so a
 key never yields all pairs of its members.  If a pair under one key is further apart than that reach,
-both its members see a neighbour at the reach's edge and are handed to an exact second way: for
-``max_distance = 2r`` every fingerprint is listed under all points within ``r`` bits of it (for an odd
-distance a second ball one bit wider meets it).  Fingerprints that share a point are within ``2r``
-bits by the triangle inequality, so they need no pairwise comparison at all: linking each to the
-point's smallest is exact for the classes, and a point has a bounded number of such neighbours.
+both its members see a neighbour at the reach's edge and are handed to an exact second way: every
+fingerprint is listed under the 65 points within one bit of it.  Fingerprints that share a point are
+within two bits by the triangle inequality, so they need no pairwise comparison at all: linking each
+to the point's smallest is exact for the classes, a point has at most 65 such neighbours, and the
+cost stays in proportion to the fingerprints however many share a key by chance.
 
 Classes of linked fingerprints come from min-label propagation with pointer jumping, each round cut
 by a table in the shared folder.
 
+``drop_near_duplicates`` asks for a Jaccard similarity of five-word shingles, which lies beyond the
+reach of a 64-bit SimHash: it adds the candidates of :mod:`minhash` to those of the fingerprints and
+decides every pair by the shingle sets.
+
 Defined cases: a null or word-free text has fingerprint zero and is linked like any other; fewer words
 than a shingle make one shingle of the whole sequence; a null doc_id never becomes a component's id
 unless all its ids are null; repeated rows stay one output row each; other columns are ignored.
@@ -25,8 +29,6 @@ unless all its ids are null; repeated rows stay one output row each; other colum
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,19 +36,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import KeyFilter, materialize, row_key, table, without_rows
+from . import minhash
+from .common import SEED, components, materialize, row_key, table, without_rows, words_of
 
-SEED = 42
 BITS = 64
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Shingles hashed at a time, which bounds the bit matrix (64 bytes a shingle).
 BLOCK = 1 << 14
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """SimHash of one text: a bit is 1 if it is set in over half of its shingles' hashes."""
-    words = _WORD.findall((text or "").translate(_LOWER))
+    words = words_of(text)
     if not words:
         return 0
     n = max(1, len(words) - shingle + 1)
@@ -104,9 +104,9 @@ def _ball(fp: Column, radius: int) -> Column:
 
 def links(fps: DataFrame, max_distance: int = 2, reach: int = 4) -> DataFrame:
     """Edges ``(a, b)``, ``a < b``, among distinct ``fps(fp)``; their classes are exactly the classes
-    of the relation "at most ``max_distance`` (1 to 3) differing bits"."""
-    if not 1 <= max_distance <= 3:
-        raise ValueError("max_distance must be 1, 2 or 3")
+    of the relation "at most ``max_distance`` (1 or 2) differing bits"."""
+    if not 1 <= max_distance <= 2:
+        raise ValueError("max_distance must be 1 or 2")
     fp = F.col("fp")
     keyed = fps.select("fp", F.explode(_variants(fp, (max_distance + 2) // 2)).alias("k")).select("fp", "k.wild", "k.rest")
     w = Window.partitionBy("wild", "rest").orderBy("fp")
@@ -129,8 +129,6 @@ def links(fps: DataFrame, max_distance: int = 2, reach: int = 4) -> DataFrame:
     if max_distance == 1:
         star = star.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 1)
         star = star.unionByName(_ball_edges(crowd, 1))
-    if max_distance == 3:
-        star = star.unionByName(_wide_edges(points, crowd))
     return direct.unionByName(star.distinct())
 
 
@@ -140,47 +138,6 @@ def _ball_edges(crowd: DataFrame, radius: int) -> DataFrame:
     return points.join(crowd.select(F.col("fp").alias("point")), "point").select(F.least("fp", "point").alias("a"), F.greatest("fp", "point").alias("b")).distinct()
 
 
-def _wide_edges(points: DataFrame, crowd: DataFrame) -> DataFrame:
-    """Distance 3: the radius-2 ball of one meets the radius-1 ball of the other in some point.
-
-    All that come within 2 bits of a point are within 3 of any that come within 1, so linking them to
-    the least of the latter keeps the classes: one edge a listed point, no pairs.  Of the 2,081 points
-    of a wide ball few are listed at all; those outside a bounded bitmap of listed points have no
-    partner and are not shuffled.
-    """
-    least = points.groupBy("point").agg(F.min("fp").alias("a"))
-    wide = crowd.select("fp", F.explode(_ball(F.col("fp"), 2)).alias("point"))
-    key = F.xxhash64("point")
-    met = KeyFilter(points, key).mark(wide, key, "listed").where("listed").select("fp", "point")
-    return met.join(least, "point").where("fp <> a").select(F.least("fp", "a").alias("a"), F.greatest("fp", "a").alias("b")).distinct()
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``(node, root)`` for every node with an edge; ``root`` is its class's least node.
-
-    Alternating large-star and small-star steps (Kiveris et al. 2014): each keeps the classes, never
-    grows the number of edges, and O(log^2) rounds leave stars.  A node's neighbours are never
-    gathered: the least one comes from a pre-aggregated ``min``.
-    """
-    e = materialize(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    before = None
-    for _ in range(max_rounds):
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("a"), F.min("b")).alias("m"))
-        large = both.join(least, F.col("a") == F.col("n")).where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
-        least = large.groupBy(F.col("b").alias("n")).agg(F.min("a").alias("m"))
-        small = large.join(least, F.col("b") == F.col("n")).select("a", "b", "m")
-        e = materialize(
-            small.select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(),
-            "edges",
-        )
-        now = e.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return e.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(e.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
-        before = now
-    raise RuntimeError("components did not settle")
-
-
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, shingle: int = 3, max_distance: int = 2) -> DataFrame:
     """One row per input row: ``doc_id, fp, component_id``."""
     fps = materialize(fingerprints(docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")), shingle=shingle), "simhash-fp")
@@ -199,17 +156,51 @@ def _labelled(fps: DataFrame, max_distance: int) -> DataFrame:
     return fps.join(known, F.col("fp") == F.col("c_fp"), "left").select("doc_id", "fp", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, shingle: int = 5, max_distance: int = 3) -> DataFrame:
+def _of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes, as a signed number."""
+    set_bits = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        part = hashes[at : at + BLOCK].byteswap().view(np.uint8).reshape(-1, 8)
+        set_bits += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
+    return _signed(int.from_bytes(np.packbits(2 * set_bits > len(hashes)).tobytes(), "big"))
+
+
+def _signatures(rows: list[np.ndarray]) -> dict[str, pa.Array]:
+    """Fingerprint and minima keys of each text, from the same hashes."""
+    keys = [minhash.bands(np.unique(x)).view(np.int64) for x in rows]
+    offsets = np.arange(0, len(rows) * minhash.BANDS + 1, minhash.BANDS, dtype=np.int32)
+    return {"fp": pa.array([_of_hashes(x) for x in rows], pa.int64()), "bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))}
+
+
+def similar_groups(keyed: DataFrame, *, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2) -> DataFrame:
+    """``(node, root)`` for the nodes of ``keyed(node, text)`` that have a near-duplicate.
+
+    Classes of the relation "the sets of word shingles have at least the Jaccard similarity".  Pairs come
+    from the fingerprints within ``max_distance`` bits and, since texts just above the similarity differ in
+    some ten of 64 bits, from minima of the shingle sets; each pair is decided by the sets.
+    """
+    signed = materialize(minhash.per_text(keyed, shingle, "fp bigint, bands array<bigint>", _signatures), "near-signatures")
+    heads = materialize(signed.groupBy("fp").agg(F.min("node").alias("head"), F.max("node").alias("last")), "near-heads")
+    of = lambda k, v: heads.select(F.col("fp").alias(k), F.col("head").alias(v))
+    close = materialize(links(heads.select("fp"), max_distance), "near-fingerprints").select(F.col("a").alias("p"), F.col("b").alias("q"))
+    met = close.join(of("p", "a"), "p").join(of("q", "b"), "q").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # texts of one fingerprint: each with the first; most fingerprints have one text and take no part
+    same = signed.join(heads.where("head <> last"), "fp").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    also = materialize(met.unionByName(same), "near-pairs")
+    return components(minhash.links(keyed, signed, also, similarity, shingle))
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2) -> DataFrame:
     """The rows of ``docs`` less all but one of each near-duplicate group (the smallest id stays).
 
     Rows equal in id and text are one document here and stay or go together (an exact dedup runs first).
     """
-    keyed = docs.select(*row_key(docs, doc_id, text), docs[text].alias("text"))
-    fps = materialize(fingerprints(keyed, carry=("key_id", "key_hash"), shingle=shingle), "simhash-fp")
+    key_id, key_hash = row_key(docs, doc_id, text)
     # of one id's different texts the smaller hash goes first, so that exactly one row of a class is its head
-    order = F.struct(F.col("key_id").isNull().alias("n"), F.col("key_id").alias("key_id"), F.col("key_hash").alias("key_hash"))
-    out = _labelled(fps.select(order.alias("doc_id"), "fp"), max_distance)
-    return without_rows(docs, out.where("doc_id <> component_id").select("doc_id.key_id", "doc_id.key_hash"), doc_id, text)
+    node = F.struct(key_id.isNull().alias("n"), key_id.alias("key_id"), key_hash.alias("key_hash"))
+    keyed = docs.select(node.alias("node"), docs[text].cast("string").alias("text"))
+    tree = similar_groups(keyed, shingle=shingle, similarity=similarity, max_distance=max_distance)
+    return without_rows(docs, tree.where("node <> root").select("node.key_id", "node.key_hash"), doc_id, text)
 
 
 def op8_simhash(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 import random
 
-from foliant.llm import minhash
+from foliant.llm import simhash
 
 
 def jaccard(x, y, k=5):
@@ -10,7 +10,7 @@ def jaccard(x, y, k=5):
     return len(of(x) & of(y)) / len(of(x) | of(y))
 
 
-def test_drop_similar_against_brute_force(spark):
+def test_near_duplicates_against_brute_force(spark):
     """Copies with few and many words replaced, one crowd of them, unlike texts, a null and a null id."""
     rnd = random.Random(3)
     made = lambda n: [f"w{rnd.randrange(5000)}" for _ in range(n)]
@@ -41,7 +41,7 @@ def test_drop_similar_against_brute_force(spark):
         a, b = sorted((find(i), find(j)), key=order)
         parent[b] = a
     df = spark.createDataFrame(data, "doc_id long, text string")
-    left = minhash.drop_similar(df)
+    left = simhash.drop_near_duplicates(df)
     assert left.columns == df.columns
     assert {r.doc_id for r in left.collect()} == {data[find(i)][0] for i in parent}
-    assert minhash.drop_similar(df.where("false")).count() == 0
+    assert simhash.drop_near_duplicates(df.where("false")).count() == 0
