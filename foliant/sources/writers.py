@@ -104,13 +104,13 @@ def tei_header(manifest: dict, title: str) -> str:
         return "g_" + "".join(ch if ch.isascii() and (ch.isalnum() or ch in "_.-") else f"_{ord(ch):x}_" for ch in value)
 
     bibl = "".join(f'<bibl xml:id="source_{xid(e)}"><title>{escape(e)}</title><idno type="sha256">{escape(h)}</idno></bibl>' for e, h in sorted(manifest["source_hashes"].items()))
-    draft = str(manifest["draft"]).lower()
+    about = "".join(f'<ab type="{kind}">{escape(manifest[key])}</ab>' for kind, key in (("corpus", "corpus_version"), ("schema", "schema_version"), ("pipeline", "pipeline_commit")))
+    # element names are set by the TEI guidelines
     return (
         '<?xml version="1.0" encoding="UTF-8"?>\n<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc>'
-        f"<titleStmt><title>{escape(title)}</title></titleStmt><publicationStmt><p>Machine-readable draft; every entry and span carries its review state.</p></publicationStmt>"
-        f"<sourceDesc><listBibl>{bibl}</listBibl></sourceDesc></fileDesc>"
-        f"<encodingDesc><projectDesc><p>Corpus version {escape(manifest['corpus_version'])}; schema {escape(manifest['schema_version'])}; pipeline {escape(manifest['pipeline_commit'])}; draft={draft}.</p></projectDesc></encodingDesc>"
-        f'<revisionDesc status="{"draft" if manifest["draft"] else "published"}"><change when="{manifest["generated_at"].isoformat()}">Generated deterministic export</change></revisionDesc>'
+        f"<titleStmt><title>{escape(title)}</title></titleStmt><publicationStmt><p>Written by foliant.</p></publicationStmt>"
+        f"<sourceDesc><listBibl>{bibl}</listBibl></sourceDesc></fileDesc><encodingDesc><projectDesc>{about}</projectDesc></encodingDesc>"
+        f'<revisionDesc status="{"draft" if manifest["draft"] else "published"}"><change when="{manifest["generated_at"].isoformat()}"/></revisionDesc>'
         "</teiHeader><text><body>\n"
     )
 

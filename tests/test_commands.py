@@ -7,24 +7,24 @@ import pytest
 from foliant import commands
 from foliant.operators import evaluate
 
-PAGE = '<alto><Layout><Page WIDTH="1000" HEIGHT="1400"><PrintSpace><TextBlock ID="b" HPOS="50" VPOS="80" WIDTH="420" HEIGHT="1000">{}</TextBlock></PrintSpace></Page></Layout></alto>'
+PAGE = '<alto><Layout><Page WIDTH="1300" HEIGHT="1750"><PrintSpace><TextBlock ID="col" HPOS="120" VPOS="60" WIDTH="520" HEIGHT="1500">{}</TextBlock></PrintSpace></Page></Layout></alto>'
 
 
 def line(n, x, y, *words):
-    inner = "<SP/>".join(f'<String CONTENT="{t}" WC="{c}" HPOS="{x + 60 * k}" VPOS="{y}" WIDTH="50" HEIGHT="45"/>' for k, (t, c) in enumerate(words))
-    return f'<TextLine ID="l{n}" HPOS="{x}" VPOS="{y}" WIDTH="400" HEIGHT="45">{inner}</TextLine>'
+    inner = "<SP/>".join(f'<String CONTENT="{t}" WC="{c}" HPOS="{x + 90 * k}" VPOS="{y}" WIDTH="80" HEIGHT="38"/>' for k, (t, c) in enumerate(words))
+    return f'<TextLine ID="l{n}" HPOS="{x}" VPOS="{y}" WIDTH="480" HEIGHT="38">{inner}</TextLine>'
 
 
 @pytest.fixture
 def folder(tmp_path):
     alto = tmp_path / "alto"
     alto.mkdir()
-    first = [line(1, 50, 100, ("אָב", 0.96), ("father,", 0.98)), line(2, 50, 155, ("prose", 0.9)), line(3, 90, 230, ("אָבַד", 0.94), ("to", 0.98), ("perish", 0.5))]
-    other = [line(1, 50, 100, ("אב", 0.78), ("father,", 0.96)), line(2, 50, 155, ("prose", 0.9)), line(3, 90, 230, ("אבד", 0.71), ("to", 0.97), ("perish", 0.4))]
-    (alto / "lex-p017.main.xml").write_text(PAGE.format("".join(first)), encoding="utf-8")
-    (alto / "lex-p017.second.xml").write_text(PAGE.format("".join(other)), encoding="utf-8")
-    (alto / "lex-p018.main.xml").write_text(PAGE.format(line(1, 50, 100, ("especially", 0.95)) + line(2, 90, 165, ("אֵבֶל", 0.94), ("mourning.", 0.97))), encoding="utf-8")
-    (tmp_path / "cat.toml").write_text(f'[[sources]]\nedition = "lex"\nsha256 = "{"a" * 64}"\nscan_id = "s"\nprinted_page_offset = -16\n', encoding="utf-8")
+    first = [line(1, 120, 72, ("דָּג", 0.87), ("a", 0.93), ("fish", 0.91)), line(2, 120, 121, ("of", 0.83), ("rivers", 0.88)), line(3, 158, 196, ("גֶּשֶׁם", 0.89), ("heavy", 0.92), ("rain", 0.61))]
+    other = [line(1, 120, 72, ("דג", 0.69), ("a", 0.9), ("fish", 0.86)), line(2, 120, 121, ("of", 0.8), ("rivers", 0.77)), line(3, 158, 196, ("גשם", 0.66), ("heavy", 0.85), ("rain", 0.52))]
+    (alto / "lex-p040.main.xml").write_text(PAGE.format("".join(first)), encoding="utf-8")
+    (alto / "lex-p040.second.xml").write_text(PAGE.format("".join(other)), encoding="utf-8")
+    (alto / "lex-p041.main.xml").write_text(PAGE.format(line(1, 120, 72, ("from", 0.9), ("clouds", 0.84)) + line(2, 158, 139, ("חוֹל", 0.88), ("sand", 0.95))), encoding="utf-8")
+    (tmp_path / "cat.toml").write_text(f'[[sources]]\nedition = "lex"\nsha256 = "{"a" * 64}"\nscan_id = "s"\nprinted_page_offset = -35\n', encoding="utf-8")
     (tmp_path / "engines.json").write_text("\n".join(json.dumps({"engine": e, "engine_ord": k, "engine_version": "1", "model": "m-" + e, "model_hash": "c" * 64}) for k, e in enumerate(["main", "second"])), encoding="utf-8")
     return tmp_path
 
@@ -32,7 +32,7 @@ def folder(tmp_path):
 def test_run_review_search_export(spark, folder, capsys):
     at = lambda name: f"file://{folder}/{name}"
     go = lambda *argv: (capsys.readouterr(), commands.main(list(argv), spark), [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")])[2]
-    counts = go("run", "--edition", "lex", "--pages", "17-18", "--alto", at("alto"), "--canonical", "main", "--catalogue", f"{folder}/cat.toml", "--engines", at("engines.json"), "--run-id", "r1", "--out", at("corpus"))
+    counts = go("run", "--edition", "lex", "--pages", "40-41", "--alto", at("alto"), "--canonical", "main", "--catalogue", f"{folder}/cat.toml", "--engines", at("engines.json"), "--run-id", "r1", "--out", at("corpus"))
     assert counts == [{"kind": "entry", "count": 5}]
     # part files of the text sink are the corpus; give them the suffix that the reader asks for
     (folder / "c").mkdir()
@@ -40,15 +40,15 @@ def test_run_review_search_export(spark, folder, capsys):
         (folder / "c" / f"{k}.jsonl").write_text(part.read_text(encoding="utf-8"), encoding="utf-8")
     entries = [json.loads(x) for p in sorted((folder / "c").glob("*")) for x in p.read_text(encoding="utf-8").splitlines()]
     assert [(e["id"], e["headword"]["diplomatic"], [len(b["spans"]) for b in e["blocks"]]) for e in entries] == [
-        ("lex:p1:e0001", "אָב", [2]),
-        ("lex:p1:e0002", "אָבַד", [2]),
-        ("lex:p2:e0001", "אֵבֶל", [1]),
+        ("lex:p5:e0001", "דָּג", [2]),
+        ("lex:p5:e0002", "גֶּשֶׁם", [2]),
+        ("lex:p6:e0001", "חוֹל", [1]),
     ]
     assert [h["engine"] for h in entries[0]["blocks"][0]["spans"][0]["hypotheses"]] == ["main", "second"]
     assert go("validate", "--entries", at("c"))[-1] == {"errors": 0, "warnings": 0, "valid": True}
-    assert [x["entry_id"] for x in go("search", "--entries", at("c"), "father")] == ["lex:p1:e0001"]
-    assert "lex:p1:e0001" in [x["id"] for x in go("review", "--entries", at("c"), "--state", "machine")]
-    assert {x["source_page"] for x in go("review", "--entries", at("c"), "--by-page")} == {17, 18}
+    assert [x["entry_id"] for x in go("search", "--entries", at("c"), "rivers")] == ["lex:p5:e0001"]
+    assert "lex:p5:e0001" in [x["id"] for x in go("review", "--entries", at("c"), "--state", "machine")]
+    assert {x["source_page"] for x in go("review", "--entries", at("c"), "--by-page")} == {40, 41}
     for form in ("jsonl", "tei", "tables"):
         go("export", "--entries", at("c"), "--format", form, "--out", at("out-" + form))
     text = "".join(p.read_text(encoding="utf-8") for p in sorted((folder / "out-tei").glob("part-*")))

@@ -45,13 +45,13 @@ def word(text, conf, x):
 def test_fusion(spark):
     kind = schemas.struct(line_id=schemas.S, text=schemas.S, confidence=schemas.D, words=schemas.array(schemas.WORD), secondary_words=schemas.array(schemas.WORD))
     rows = [
-        ("top", "AB father", 0.8, [word("AB", 0.50, 0), word("father", 0.98, 50)], [word("אָב", 0.91, 0), word("father", 0.97, 50)]),
-        ("bottom", "with", 0.84, [word("with", 0.84, 0)], [word("מוושו", 0.80, 0)]),
-        ("alone", "x", 0.5, [word("x", 0.5, 0)], None),
+        ("n1", "GML camel", 0.7, [word("GML", 0.42, 0), word("camel", 0.95, 60)], [word("גָּמָל", 0.88, 0), word("camel", 0.94, 60)]),
+        ("n2", "river", 0.9, [word("river", 0.9, 0)], [word("נהרות", 0.62, 0)]),
+        ("n3", "x", 0.5, [word("x", 0.5, 0)], None),
     ]
     got = {r.line_id: r for r in matching.fuse_words(spark.createDataFrame(rows, kind)).collect()}
-    assert (got["top"].text, got["bottom"].text, got["alone"].text) == ("אָב father", "with", "x")
-    assert [w.id for w in got["top"].words] == ["top-fused-word-0001", "top-fused-word-0002"]
+    assert (got["n1"].text, got["n2"].text, got["n3"].text) == ("גָּמָל camel", "river", "x")
+    assert [w.id for w in got["n1"].words] == ["n1-fused-word-0001", "n1-fused-word-0002"]
 
 
 def test_replay_and_conflicts(spark):

@@ -34,11 +34,12 @@ def shape(segmented):
     return [(e["headword"], list(e["blocks"].values())) for e in entries.values()]
 
 
-def flush(xs, texts, start=100, step=50):
-    return [(f"l{k}", (x, start + k * step, 400, 45), t) for k, (x, t) in enumerate(zip(xs, texts))]
+def flush(xs, texts, start=72, step=49):
+    return [(f"l{k}", (x, start + k * step, 480, 38), t) for k, (x, t) in enumerate(zip(xs, texts))]
 
 
-BOX = (50, 80, 420, 1000)
+LEFT, INDENT = 120, 158
+BOX = (LEFT, 60, 520, 1150)
 
 
 def test_headless_start_and_header(spark):
@@ -125,19 +126,19 @@ def test_run_builds_valid_entries(spark):
     from foliant.operators import corpus
     from foliant.sources import writers
 
-    pages = {17: [("r", BOX, flush([90, 50, 90], ["אָב m. father", "of many", "אֵם f. mother"]))], 18: [("r", BOX, flush([50], ["continued here"]))]}
+    pages = {40: [("r", BOX, flush([INDENT, LEFT, INDENT], ["דָּג m. fish", "of rivers", "חוֹל f. sand"]))], 41: [("r", BOX, flush([LEFT], ["continued here"]))]}
     canonical = make(spark, pages).drop("printed_page", "front_matter")
     engines = spark.createDataFrame([("primary", 0, "1", "m", "c" * 64)], "engine string, engine_ord int, engine_version string, model string, model_hash string")
     context = {"source_sha256": "a" * 64, "scan_id": "scan", "pipeline_run": "run", "transform_id": "identity", "page_image": "p%04d.png"}
-    entries, assignments = run.run(canonical, canonical, engines, {"printed_page_offset": -16}, context)
+    entries, assignments = run.run(canonical, canonical, engines, {"printed_page_offset": -35}, context)
     entries = entries.cache()
     got = {e.id: e for e in entries.collect()}
-    assert sorted(got) == ["first-1854:p1:e0001", "first-1854:p1:e0002"]
-    assert got["first-1854:p1:e0002"].headword.id == "first-1854:p1:e0002:headword"
-    assert [len(b.spans) for b in got["first-1854:p1:e0002"].blocks] == [2]
+    assert sorted(got) == ["atlas:p5:e0001", "atlas:p5:e0002"]
+    assert got["atlas:p5:e0002"].headword.id == "atlas:p5:e0002:headword"
+    assert [len(b.spans) for b in got["atlas:p5:e0002"].blocks] == [2]
     assert corpus.validate(entries).count() == 0
     assert assignments.count() == 4
     tables = writers.shred(entries)
     assert tables["spans"].count() == 6 and writers.check_tables(tables).agg(F.sum("broken")).first()[0] == 0
-    assert corpus.search(corpus.search_index(entries), "father").count() == 1
-    assert entries.select(writers.tei_entry().alias("x")).where("x like '<entry xml:id=\"g_first-1854_3a_p1%'").count() == 2
+    assert corpus.search(corpus.search_index(entries), "rivers").count() == 1
+    assert entries.select(writers.tei_entry().alias("x")).where("x like '<entry xml:id=\"g_atlas_3a_p5%'").count() == 2
