@@ -39,9 +39,9 @@ from .common import table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Matches longer than this are not remembered; so many are remembered at most.
 CACHED_CHARS = 48
-CACHED = 250_000
+CACHED = 100_000
 #: Rows and characters of a block, a bound on what one worker holds besides one text.
-ROWS, CHARS = 256, 1 << 20
+ROWS, CHARS = 256, 1 << 19
 #: Ranks per bitmap word, as a power of two.
 _SHIFT = 8
 _MASK = (1 << _SHIFT) - 1
