@@ -1,13 +1,12 @@
 """License scans by ordered signature rules (DataFrame functions only).
 
-A text that shows none of the rules' keywords (their words apart by anything that is no word) can hold
-no license wording and is done after one search.
-Others are brought to normal form (lower-case words, single spaces) and met by some hundreds of
-regular expressions: license families times the forms in which a license is named.  Each rule has a
-keyword; only rules whose keyword occurs are run.  Every detection is an interval of words with a
-priority, and a detection that lies inside another of equal or higher priority is dropped ("apache
-license" inside "licensed under the apache license version 2 0").  Base phrases keep their labels
-whatever happens to their detections.
+Every text is brought to normal form (lower-case words, single spaces) and searched for the rules'
+keywords, which are plain strings of that form; a text without any can hold no license wording and is
+done.  Only rules whose keyword occurs are run: the wordings of license texts and notices (``BODIES``),
+and license names (``FAMILIES``) in the forms in which a license is named (``FORMS``).  Every detection
+is an interval of words with a priority, and a detection that lies inside another of equal or higher
+priority is dropped ("apache license" inside "licensed under the apache license version 2 0").  Base
+phrases keep their labels whatever happens to their detections.
 
 All of it happens inside the row, without any shuffle.
 
@@ -22,8 +21,6 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, table
 
-#: Words on a text whose A-Z are not lower-cased yet; lower-casing changes no boundary.
-CASED_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
@@ -82,20 +79,59 @@ FORMS = (
     ("copyright [^ ]+(?: [^ ]+){{0,6}} {name}", 2, 0.8),
     ("{name}", 1, 0.6),
 )
-#: Over the raw text: some rule's keyword or a base phrase may stand in it (its words with any break between).
-_GATE = "(?i)" + "|".join(sorted({k.replace(" ", NOT_WORD) for k in [keyword for _, keyword, _ in FAMILIES] + [phrase for phrase, _ in BASE]}))
-_NEEDS_FORM = {"mit", "apache", "python"}
+#: label, keyword, wording, priority, confidence: sentences of the licenses themselves and of their notices.
+BODIES = (
+    ("mit", "free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software", 4, 1.0),
+    ("mit", "to deal in", "to deal in the software without restriction", 3, 0.95),
+    ("mit", "permission notice shall", "the above copyright notice and this permission notice shall be included in all copies", 4, 0.95),
+    ("as-is", "provided as is", "(?:the|this) software is provided as is", 2, 0.7),
+    ("bsd", "source and binary forms", "redistribution and use in source and binary forms with or without modification are permitted", 3, 1.0),
+    ("bsd-2-clause", "redistributions in binary form", "redistributions in binary form must reproduce the above copyright notice", 3, 0.9),
+    ("bsd-3-clause", "endorse or promote", "neither the names? of [^ ]+(?: [^ ]+){0,14} may be used to endorse or promote products", 4, 1.0),
+    ("bsd-4-clause", "advertising materials", "all advertising materials mentioning features or use of this software must display", 4, 1.0),
+    ("isc", "with or without fee", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 4, 1.0),
+    ("postgresql", "without fee", "permission to use copy modify and distribute this software and its documentation for any purpose without fee", 4, 1.0),
+    ("apache-2.0", "compliance with the license", "you may not use this file except in compliance with the license", 4, 1.0),
+    ("apache-2.0", "applicable law", "unless required by applicable law or agreed to in writing software distributed under the license", 4, 1.0),
+    ("apache-2.0", "contributor license agreements", "licensed to the [^ ]+(?: [^ ]+){0,4} under one or more contributor license agreements", 4, 0.95),
+    ("gpl", "free software", "this program is free software you can redistribute it and or modify it", 3, 0.95),
+    ("gpl-2.0", "version 2 of the license", "either version 2 of the license or at your option any later version", 4, 0.9),
+    ("gpl-3.0", "version 3 of the license", "either version 3 of the license or at your option any later version", 4, 0.9),
+    ("gpl", "hope that it will be useful", "distributed in the hope that it will be useful but without any warranty", 3, 0.9),
+    ("lgpl", "free software", "this library is free software you can redistribute it and or modify it", 4, 1.0),
+    ("agpl-3.0", "interacting with it remotely", "all users interacting with it remotely through a computer network", 4, 0.95),
+    ("mpl-2.0", "source code form", "this source code form is subject to the terms of the mozilla public licen[sc]e", 4, 1.0),
+    ("mpl-1.1", "contents of this file", "the contents of this file are subject to the mozilla public licen[sc]e", 4, 0.95),
+    ("cddl", "contents of this file", "the contents of this file are subject to the terms of the common development and distribution licen[sc]e", 4, 1.0),
+    ("epl-2.0", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e", 4, 1.0),
+    ("unlicense", "unencumbered software", "this is free and unencumbered software released into the public domain", 4, 1.0),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented", 4, 1.0),
+    ("zlib", "express or implied warranty", "this software is provided as is without any express or implied warranty", 4, 0.95),
+    ("boost", "free of charge", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software", 4, 1.0),
+    ("cc0", "this deed", "the person who associated a work with this deed has dedicated the work to the public domain", 4, 1.0),
+    ("cc-by", "creative commons", "this work is licensed under (?:a|the) creative commons attribution", 3, 0.9),
+    ("ofl", "font software", "this font software is licensed under the sil open font licen[sc]e", 4, 1.0),
+    ("artistic", "may be copied", "the conditions under which a package may be copied", 4, 1.0),
+    ("python", "psf is making", "psf is making python available to licensee on an as is basis", 4, 1.0),
+    ("proprietary", "proprietary and confidential", "proprietary and confidential", 2, 0.8),
+    ("proprietary", "strictly prohibited", "unauthorized copying of this file via any medium is strictly prohibited", 4, 1.0),
+)
+#: Families whose bare name is no license.
+NOT_BARE = {"mit": "mit licen[sc]e"}
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
     """(label, keyword, pattern, priority, confidence); patterns start and end at word edges."""
-    out = []
+    out = list(BODIES)
     for label, keyword, name in FAMILIES:
         for form, priority, confidence in FORMS:
-            if form == "{name}" and keyword in _NEEDS_FORM and label == "mit":
-                name = "mit licen[sc]e"  # the bare word is no license
-            out.append((label, keyword, f"(?<= ){form.format(name=name)}(?= )", priority, confidence))
-    return out
+            said = NOT_BARE.get(label, name) if form == "{name}" else name
+            out.append((label, keyword, form.format(name=said), priority, confidence))
+    return [(label, keyword, f"(?<= ){pattern}(?= )", priority, confidence) for label, keyword, pattern, priority, confidence in out]
+
+
+def keywords() -> list[str]:
+    return sorted({r[1] for r in rules()} | {phrase for phrase, _ in BASE})
 
 
 def _array(rows: list[tuple[str, str, str, int, float]]) -> Column:
@@ -128,16 +164,17 @@ def scan(docs: DataFrame, text: str = "text", *, carry: list[str]) -> DataFrame:
     phrases) and ``found`` (detections that stay), both arrays of word intervals with labels."""
     t = F.coalesce(docs[text].cast("string"), F.lit(""))
     read = docs.select(F.struct(*[docs[c].alias(c) for c in carry]).alias("row"), t.alias("text"))
-    gated = read.select(
-        "row",
-        F.regexp_count("text", F.lit(CASED_WORD)).cast("long").alias("n_words"),
-        F.when(F.col("text").rlike(_GATE), F.concat(F.lit(" "), F.trim(F.regexp_replace(ascii_lower(F.col("text")), NOT_WORD, " ")), F.lit(" "))).alias("n"),
-    )
+    normal = read.select("row", F.concat(F.lit(" "), F.trim(F.regexp_replace(ascii_lower(F.col("text")), NOT_WORD, " ")), F.lit(" ")).alias("n"))
+    found = F.filter(F.array(*[F.lit(k) for k in keywords()]), lambda k: F.contains(F.col("n"), k))
+    # no word: the two spaces alone
+    count = F.when(F.col("n") == "  ", 0).otherwise(F.char_length("n") - F.char_length(F.replace("n", F.lit(" "), F.lit(""))) - 1).cast("long")
+    searched = normal.select("row", "n", count.alias("n_words"), found.alias("keywords"))
+    gated = searched.select("row", "n_words", "keywords", F.when(F.size("keywords") > 0, F.col("n")).alias("n"))
     none = f"cast(array() AS array<{_SPAN}>)"
     base = ", ".join(_places(f"'(?<= ){phrase}(?= )'", f"'{label}'", "5", "0.9") for phrase, label in BASE)
-    based = gated.select("row", "n_words", "n", F.expr(f"CASE WHEN n IS NULL THEN {none} ELSE concat({base}) END").alias("base"))
+    based = gated.select("row", "n_words", "n", "keywords", F.expr(f"CASE WHEN n IS NULL THEN {none} ELSE concat({base}) END").alias("base"))
     ruled = based.select(
-        "row", "n_words", "n", "base", F.when(F.col("n").isNotNull(), F.filter(_array(rules()), lambda r: F.contains(F.col("n"), r["keyword"]))).alias("rules")
+        "row", "n_words", "n", "base", F.when(F.col("n").isNotNull(), F.filter(_array(rules()), lambda r: F.array_contains(F.col("keywords"), r["keyword"]))).alias("rules")
     )
     # longest first at a start; then a detection lies in an earlier one if that one reaches as far
     raw = f"array_sort(flatten(transform(rules, r -> {_places('r.pattern', 'r.label', 'r.priority', 'r.confidence')})), (a, b) -> CASE WHEN a.first <> b.first THEN a.first - b.first WHEN a.last <> b.last THEN b.last - a.last WHEN a.priority <> b.priority THEN b.priority - a.priority WHEN a.label < b.label THEN -1 WHEN a.label > b.label THEN 1 ELSE 0 END)"

@@ -18,7 +18,7 @@ taken tokens miss the target by at most half of one document, and no document is
 
 Defined cases: null text has size 0 (never counts words, taken 0); null sources are one source,
 last in order; an empty table gives an empty result; ids may repeat (order then falls to the size);
-null ids are ordered by size alone; extra columns of any name are carried.
+null ids are ordered by size alone; rows equal in id and size stand in the order of a hash of their text; extra columns of any name are carried.
 """
 
 from __future__ import annotations
@@ -103,6 +103,7 @@ def assign(
     *,
     source: str = "source",
     doc_id: str = "doc_id",
+    tie: Column | None = None,
     carry: Sequence[str] | None = None,
     weights: Sequence[int] = WEIGHTS,
     share_percent: int = SHARE_PERCENT,
@@ -110,7 +111,10 @@ def assign(
     shapes=SHAPES,
 ) -> DataFrame:
     """One row per input row: ``row`` (columns ``carry``, default all), ``size, source_size, target,
-    copies, times`` - ``times`` the training time of each of the document's ``copies``."""
+    copies, times, tie`` - ``times`` the training time of each of the document's ``copies``.
+
+    Rows equal in id and size stand in the order of ``tie`` (a hash of the text, say); without one
+    their order, but not the sums, may change between runs."""
     n_rows = docs.count()
     buckets = max(1, -(-n_rows // BUCKET_ROWS))
     digest = F.md5(F.coalesce(docs[doc_id].cast("string"), size.cast("string"), F.lit("")))
@@ -120,6 +124,7 @@ def assign(
         docs[doc_id].alias("id"),
         size.alias("size"),
         digest.alias("digest"),
+        (F.lit(0).cast("long") if tie is None else tie).alias("tie"),
     )
     # equal slices of the digest's range: bucket order is digest order
     slot = F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(1 << 32)).cast("long")
@@ -131,36 +136,37 @@ def assign(
     offsets = materialize(
         offsets.join(totals, F.col("o_source").eqNullSafe(F.col("source"))).select("o_source", "o_bucket", "offset", F.col("size").alias("source_size"), "target", "i"), "mix-offsets"
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("digest", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("digest", "id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     summed = placed.select("*", F.coalesce(F.sum("size").over(inside), F.lit(0)).alias("inside"))
     joined = summed.join(offsets, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("bucket") == F.col("o_bucket")))
     middle = (2 * (F.col("offset") + F.col("inside")) + F.col("size")).cast("double") / F.lit(2.0)
     copies = F.when(F.col("source_size") > 0, F.greatest(F.lit(0), F.least(F.lit(max_epochs), F.ceil((F.col("target") - F.col("middle")) / F.col("source_size"))))).otherwise(0).cast("int")
-    counted = joined.select("row", "size", "source_size", "target", "i", middle.alias("middle")).select("*", copies.alias("copies"))
+    counted = joined.select("row", "size", "source_size", "target", "i", "tie", middle.alias("middle")).select("*", copies.alias("copies"))
     at = F.transform(
         F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>")),
         lambda e: _invert(_schedule(F.col("i"), shapes), (F.col("middle") + e * F.col("source_size")) / F.col("target")),
     )
-    return counted.select("row", "size", "source_size", "target", "copies", at.alias("times"))
+    return counted.select("row", "size", "source_size", "target", "copies", at.alias("times"), "tie")
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
     """The training set in training order: each taken document, as often as it is taken, all columns
-    as they were, range-sorted by training time (ties by id)."""
-    out = assign(docs, word_count(docs[text]), source=source, doc_id=doc_id, **how)
-    each = out.select("row", F.explode("times").alias("time"))
+    as they were, range-sorted by training time (ties by id, then by a hash of the text)."""
+    out = assign(docs, word_count(docs[text]), source=source, doc_id=doc_id, tie=F.xxhash64(docs[text].cast("string")), **how)
+    each = out.select("row", F.explode("times").alias("time"), "tie")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return each.repartitionByRange(parts, "time", F.col("row")[doc_id]).sortWithinPartitions("time", F.col("row")[doc_id]).select("row.*")
+    return each.repartitionByRange(parts, "time", F.col("row")[doc_id], "tie").sortWithinPartitions("time", F.col("row")[doc_id], "tie").select("row.*")
 
 
 def op1_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    out = assign(docs, word_count(docs["text"]), carry=["doc_id"])
+    out = assign(docs, word_count(docs["text"]), carry=["doc_id"], tie=F.xxhash64(docs["text"]))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     listed = out.select(
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.try_element_at("times", F.lit(1)).alias("time")
     )
-    return listed.repartitionByRange(parts, "time", "doc_id").sortWithinPartitions("time", "doc_id").drop("time")
+    placed = listed.repartitionByRange(parts, "time", "doc_id").sortWithinPartitions("time", "doc_id")
+    return placed.select("doc_id", "size", "source_size", "target", "taken", F.round("time", 6).alias("time"))
 
 
 ORACLE = r"""
@@ -180,7 +186,7 @@ WITH d AS (
 ), h AS (
   SELECT *, CAST(coalesce(sum(size) FILTER (stops) OVER (), 0) AS BIGINT) AS s_stop, CAST(coalesce(sum(w) FILTER (stops) OVER (), 0) AS BIGINT) AS w_stop FROM g
 ), t AS (
-  SELECT source, size AS source_size,
+  SELECT source, i, size AS source_size,
          CASE WHEN stops THEN CAST(2 * size AS DOUBLE)
               ELSE CAST(w * (150 * total - 200 * s_stop) AS DOUBLE) / CAST(100 * (w_all - w_stop) AS DOUBLE) END AS target
   FROM h
@@ -188,10 +194,18 @@ WITH d AS (
   SELECT doc_id, size, source,
          CAST(2 * coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size AS DOUBLE) / 2 AS middle
   FROM d
+), c AS (
+  SELECT doc_id, size, source_size, target, i % 3 AS kind, middle / nullif(target, 0) AS y,
+         CASE WHEN source_size > 0 THEN greatest(0, least(2, ceil((target - middle) / source_size))) ELSE 0 END AS copies
+  FROM m JOIN t ON m.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, size, source_size, target,
-       CAST(size * CASE WHEN source_size > 0 THEN greatest(0, least(2, ceil((target - middle) / source_size))) ELSE 0 END AS BIGINT) AS taken
-FROM m JOIN t ON m.source IS NOT DISTINCT FROM t.source
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken,
+       CASE WHEN copies > 0 THEN round(greatest(0, least(1, CASE
+         WHEN kind = 0 THEN 1.5 - sqrt(greatest(2.25 - 2 * y, 0))
+         WHEN kind = 1 THEN y
+         WHEN y < 0.375 THEN sqrt(0.25 + 2 * y) - 0.5
+         ELSE sqrt(1 + 2 * (y - 0.375)) - 0.5 END)), 6) END AS time
+FROM c
 """
 
 QUERIES = {"op1_mixing": op1_mixing}

@@ -17,10 +17,12 @@ rows stay; extra columns of any name are ignored unless carried; an empty table
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, materialize, table
+from .common import KeyFilter, hadoop_path, materialize, shared_dir, table
 
 #: kind, pattern, group whose length counts, least length, literal without which nothing can match.
 BASE = (
@@ -89,7 +91,7 @@ def scan_secrets(
     """``(findings, news)``: per input row its ``carry`` columns (in ``row``), ``blob`` and ``spans``;
     and the ledger rows to append."""
     spark = docs.sparkSession
-    held = (ledger if ledger is not None else spark.createDataFrame([], LEDGER_SCHEMA)).where(F.col("rule_version") == rule_version).select("blob", "spans")
+    held = (ledger if ledger is not None else spark.range(0).select(F.lit("").alias("blob"), F.lit("").alias("rule_version"), F.expr(_NONE).alias("spans"))).where(F.col("rule_version") == rule_version).select("blob", "spans")
     t = F.coalesce(docs[text].cast("string"), F.lit(""))
     rows = materialize(docs.select(F.struct(*[docs[c].alias(c) for c in carry]).alias("row"), F.sha2(t, 256).alias("blob")), "secret-rows")
     again = rows.groupBy("blob").count().where("count > 1").select("blob").unionByName(held.select("blob"))
@@ -103,12 +105,29 @@ def scan_secrets(
     return findings, news.select("blob", F.lit(rule_version).alias("rule_version"), "spans")
 
 
+def scan_into(docs: DataFrame, ledger_path: str, text: str = "text", *, carry: list[str], rule_version: str = RULE_VERSION, rules=BASE + EXTRA) -> DataFrame:
+    """Findings of ``docs`` through the ledger kept at ``ledger_path`` (a shared folder).
+
+    Blobs that the ledger holds under this rule version are not scanned again; what was scanned is
+    appended.  An append that fails midway leaves no rows (Spark commits files at the end), and rows
+    appended twice by two runs at once are equal, so findings stay right.
+    """
+    spark = docs.sparkSession
+    where, fs = hadoop_path(spark, ledger_path)
+    held = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path).dropDuplicates(["blob", "rule_version"]) if fs.exists(where) else None
+    findings, news = scan_secrets(docs, text, carry=carry, ledger=held, rule_version=rule_version, rules=rules)
+    news.write.mode("append").parquet(ledger_path)
+    return findings
+
+
 def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def op6_secrets(spark, sf_dir):
-    findings, _ = scan_secrets(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    # a ledger of its own for each call, so that a rerun scans as much as the first run
+    ledger = f"{shared_dir(spark)}/op6-ledger-{uuid.uuid4().hex}"
+    findings = scan_into(table(spark, sf_dir, "documents"), ledger, carry=["doc_id"])
     spans = F.col("spans")
     count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter(spans, lambda s: s["rank"] < len(BASE))

@@ -19,11 +19,24 @@ SAMPLES = {
 }
 
 
+BODIES = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software": "mit",
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted": "bsd",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY': "as-is",
+    "you may not use this file except in compliance with the License.": "apache-2.0",
+    "All Rights Reserved.": "all-rights-reserved",
+    "public-domain": "public-domain",
+    "MPL2.0": "mpl-2.0",
+    "CC/BY-SA 4.0": "cc-by-sa",
+}
+SAMPLES |= BODIES
+
+
 def _words(pattern):
     """A text that the pattern matches: optional parts left out, the first of every choice."""
     pattern = re.sub(r"\(\?<= \)|\(\?= \)", "", pattern).replace("[^ ]+", "2020").replace("licen[sc]e", "license")
     while re.search(r"\((\?:)?[^()]*\)", pattern):
-        pattern = re.sub(r"\(\?:[^()]*\)(\?|\{0,6\})", "", pattern, count=1) if re.search(r"\(\?:[^()]*\)(\?|\{0,6\})", pattern) else re.sub(r"\(\?:([^()|]*)[^()]*\)", r"\1", pattern, count=1)
+        pattern = re.sub(r"\(\?:[^()]*\)(\?|\{0,\d+\})", "", pattern, count=1) if re.search(r"\(\?:[^()]*\)(\?|\{0,\d+\})", pattern) else re.sub(r"\(\?:([^()|]*)[^()]*\)", r"\1", pattern, count=1)
     return re.sub(r".\?", "", re.sub(r"\[(.)[^\]]*\]", r"\1", pattern)).strip()
 
 
