@@ -339,10 +339,14 @@ def label_hint(spark, d):
 def grammar_lookahead(spark, d):
     """Short words with a label among the next three words."""
     words = F.filter(F.split("text", " "), lambda x: x != "")
-    label = lambda i, k: F.coalesce(F.get("w", i + k).isin("of", "de", "le"), F.lit(False))  # noqa: E731  (slice would copy the array for every word)
-    hit = lambda w, i: (F.length(w) <= 6) & (label(i, 1) | label(i, 2) | label(i, 3))
-    counted = t(spark, d, "documents", "doc_id", "text").select("doc_id", words.alias("w")).select("doc_id", F.size(F.filter(F.transform("w", hit), lambda x: x)).cast("long").alias("n"))
-    return counted.where("n > 0")
+
+    def hits(w):
+        label = lambda i, k: F.coalesce(F.get(w, i + k).isin("of", "de", "le"), F.lit(False))  # noqa: E731  (slice would copy the array for every word)
+        return F.size(F.filter(w, lambda x, i: (F.length(x) <= 6) & (label(i, 1) | label(i, 2) | label(i, 3))))
+
+    # the words are a lambda's argument: as a column they would be split anew for every word once the filter is pushed down
+    n = F.get(F.transform(F.array(words), hits), 0).cast("long")
+    return t(spark, d, "documents", "doc_id", "text").select("doc_id", n.alias("n")).where("n > 0")
 
 
 @query()
@@ -422,17 +426,14 @@ def interval_semi(spark, d):
 
 # ---- metrics -------------------------------------------------------------------------------------------------
 
-_TURNS = "WITH p AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations)"
-
-
 def _turns(spark, d):
     c = t(spark, d, "conversations", "conv_id", "turn", "text")
     return c.withColumn("before", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))).where("before IS NOT NULL")
 
 
-@query(_TURNS + " SELECT conv_id, turn, round(CASE WHEN length(before) = 0 THEN CAST(length(text) > 0 AS INTEGER) ELSE levenshtein(before, text) / length(before) END, 9) AS cer FROM p WHERE before IS NOT NULL AND NOT regexp_matches(before || text, '[^\\x00-\\x7F]')")
+@query()
 def cer(spark, d):
-    """Character error rate of each turn against the one before, in code points (the SQL leaves out turns that are not ASCII)."""
+    """Character error rate of each turn against the one before, in code points (DuckDB's distance counts bytes, so there is no SQL)."""
     return _turns(spark, d).select("conv_id", "turn", F.round(mx.cer(F.col("before"), F.col("text")), 9).alias("cer"))
 
 
@@ -447,13 +448,9 @@ def script_cer(spark, d):
     return scored.select("conv_id", "turn", "script", F.round("cer", 9).alias("cer"))
 
 
-@query(
-    _TURNS + """, q AS (SELECT conv_id, max(least(CASE WHEN greatest(length(before), length(text)) = 0 THEN 0 ELSE levenshtein(before, text) / greatest(length(before), length(text)) END, 1)) AS disagreement
-    FROM p WHERE before IS NOT NULL AND NOT regexp_matches(before || text, '[^\\x00-\\x7F]') GROUP BY conv_id)
-    SELECT conv_id, round(disagreement, 9) AS disagreement FROM q WHERE disagreement > 0.15"""
-)
+@query()
 def disagreement_queue(spark, d):
-    """Conversations queued because two adjacent readings disagree (the SQL leaves out turns that are not ASCII)."""
+    """Conversations queued because two adjacent readings disagree (no SQL, as for ``cer``)."""
     worst = _turns(spark, d).groupBy("conv_id").agg(F.max(mx.disagreement(F.col("before"), F.col("text"))).alias("disagreement"))
     return worst.where(F.col("disagreement") > 0.15).select("conv_id", F.round("disagreement", 9).alias("disagreement"))
 
@@ -615,7 +612,7 @@ def ordered_text(spark, d):
     return t(spark, d, "conversations", "conv_id", "turn", "text").groupBy("conv_id").agg(F.array_join(F.transform(rows, lambda x: x["text"]), "\n").alias("text"))
 
 
-@query("SELECT doc_id, '<e n=\"' || doc_id || '\">' || replace(replace(replace(replace(replace(left(text, 1000000), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&apos;') || '</e>' AS xml FROM documents")
+@query("SELECT doc_id, '<e n=\"' || doc_id || '\">' || replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&apos;') || '</e>' AS xml FROM documents")
 def xml_fragments(spark, d):
     """Each document as an escaped XML fragment."""
     return t(spark, d, "documents", "doc_id", "text").select("doc_id", F.concat(F.lit('<e n="'), F.col("doc_id").cast("string"), F.lit('">'), tx.xml_escape(F.col("text")), F.lit("</e>")).alias("xml"))
@@ -712,8 +709,12 @@ def _as_folder(spark: SparkSession, d: str, name: str) -> str:
 
 
 def queries() -> dict[str, Callable]:
-    return dict(_QUERIES)
+    from . import library_queries
+
+    return _QUERIES | library_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    from . import library_queries
+
+    return _ORACLES | library_queries.oracle_sql()
