@@ -19,11 +19,11 @@ def line(n, x, y, *words):
 def folder(tmp_path):
     alto = tmp_path / "alto"
     alto.mkdir()
-    first = [line(1, 120, 72, ("דָּג", 0.87), ("a", 0.93), ("fish", 0.91)), line(2, 120, 121, ("of", 0.83), ("rivers", 0.88)), line(3, 158, 196, ("גֶּשֶׁם", 0.89), ("heavy", 0.92), ("rain", 0.61))]
-    other = [line(1, 120, 72, ("דג", 0.69), ("a", 0.9), ("fish", 0.86)), line(2, 120, 121, ("of", 0.8), ("rivers", 0.77)), line(3, 158, 196, ("גשם", 0.66), ("heavy", 0.85), ("rain", 0.52))]
+    first = [line(1, 120, 110, ("דָּג", 0.87), ("a", 0.93), ("fish", 0.91)), line(2, 120, 159, ("of", 0.83), ("rivers", 0.88)), line(3, 158, 234, ("גֶּשֶׁם", 0.89), ("heavy", 0.92), ("rain", 0.61))]
+    other = [line(1, 120, 110, ("דג", 0.69), ("a", 0.9), ("fish", 0.86)), line(2, 120, 159, ("of", 0.8), ("rivers", 0.77)), line(3, 158, 234, ("גשם", 0.66), ("heavy", 0.85), ("rain", 0.52))]
     (alto / "lex-p040.main.xml").write_text(PAGE.format("".join(first)), encoding="utf-8")
     (alto / "lex-p040.second.xml").write_text(PAGE.format("".join(other)), encoding="utf-8")
-    (alto / "lex-p041.main.xml").write_text(PAGE.format(line(1, 120, 72, ("from", 0.9), ("clouds", 0.84)) + line(2, 158, 139, ("חוֹל", 0.88), ("sand", 0.95))), encoding="utf-8")
+    (alto / "lex-p041.main.xml").write_text(PAGE.format(line(1, 120, 110, ("from", 0.9), ("clouds", 0.84)) + line(2, 158, 177, ("חוֹל", 0.88), ("sand", 0.95))), encoding="utf-8")
     (tmp_path / "cat.toml").write_text(f'[[sources]]\nedition = "lex"\nsha256 = "{"a" * 64}"\nscan_id = "s"\nprinted_page_offset = -35\n', encoding="utf-8")
     (tmp_path / "engines.json").write_text("\n".join(json.dumps({"engine": e, "engine_ord": k, "engine_version": "1", "model": "m-" + e, "model_hash": "c" * 64}) for k, e in enumerate(["main", "second"])), encoding="utf-8")
     return tmp_path

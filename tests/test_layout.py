@@ -21,7 +21,7 @@ def make(spark, pages, size=(W, H), engine="primary"):
                 for k, t in enumerate(text.split()):
                     words.append((f"{line}-w{k}", t, 0.9, at, float(y), 40.0, float(h), None))
                     at += 50.0
-                rows.append(("first-1854", page, engine, size[0], size[1], r, region, *box, n, line, x, y, w, h, text, 0.9, polygon, words))
+                rows.append(("atlas", page, engine, size[0], size[1], r, region, *box, n, line, x, y, w, h, text, 0.9, polygon, words))
     return spark.createDataFrame(rows, schemas.LINE).withColumns({"printed_page": F.col("source_page").cast("string"), "front_matter": F.lit(False)})
 
 
@@ -47,7 +47,7 @@ def test_headless_start_and_header(spark):
     out = layout.segment(lines).cache()
     assert shape(out) == [(None, [1]), ("אָב", [1])]
     assert out.where("line_id = 'header-line'").first().kind == "unparsed"
-    assert [r.entry_id for r in out.where("line_id = 'entry'").collect()] == ["first-1854:p1:e0002"]
+    assert [r.entry_id for r in out.where("line_id = 'entry'").collect()] == ["atlas:p1:e0002"]
 
 
 def test_heading_then_paragraph(spark):
@@ -98,7 +98,7 @@ def test_front_matter_and_gap_in_pages(spark):
     lines = make(spark, {n: [("r", BOX, [(f"p{n}", (50, 200, 400, 45), "plain prose text")])] for n in (1, 2, 4)})
     lines = lines.withColumn("front_matter", F.col("source_page") == 1)
     out = {r.line_id: (r.kind, r.entry_id) for r in layout.segment(lines).collect()}
-    assert out == {"p1": ("front_matter", None), "p2": ("entry", "first-1854:p2:e0001"), "p4": ("entry", "first-1854:p4:e0001")}
+    assert out == {"p1": ("front_matter", None), "p2": ("entry", "atlas:p2:e0001"), "p4": ("entry", "atlas:p4:e0001")}
 
 
 def test_starred_headword(spark):
