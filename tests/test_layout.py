@@ -35,10 +35,10 @@ def shape(segmented):
 
 
 def flush(xs, texts, start=72, step=49):
-    return [(f"l{k}", (x, start + k * step, 480, 38), t) for k, (x, t) in enumerate(zip(xs, texts))]
+    return [(f"l{k}", (x, start + k * step, 400, 38), t) for k, (x, t) in enumerate(zip(xs, texts))]
 
 
-LEFT, INDENT = 120, 158
+LEFT, INDENT = 100, 138
 BOX = (LEFT, 60, 520, 1150)
 
 
