@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from . import queries as base
-from .functions import ids, text as tx
+from .functions import ids, metrics as mx, text as tx
 from .operators import corpus, evaluate, layout
 from .sources import writers
 
@@ -213,6 +213,143 @@ def entry_ids(spark, d):
     return made.select("id", F.substring_index("id", ":", 1).alias("edition_part"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("padded"))
 
 
+#: Two boxes per order line, whole coordinates.
+_BOXES = """WITH b AS (SELECT l_orderkey, l_linenumber, CAST(l_suppkey % 97 AS DOUBLE) AS x1, CAST(l_partkey % 89 AS DOUBLE) AS y1, CAST(l_suppkey % 97 + l_linenumber * 7 AS DOUBLE) AS x2, CAST(l_partkey % 89 + l_linenumber * 5 AS DOUBLE) AS y2,
+  CAST(l_suppkey % 97 + l_partkey % 13 AS DOUBLE) AS u1, CAST(l_partkey % 89 + l_suppkey % 11 AS DOUBLE) AS v1, CAST(l_suppkey % 97 + l_partkey % 13 + 20 AS DOUBLE) AS u2, CAST(l_partkey % 89 + l_suppkey % 11 + 15 AS DOUBLE) AS v2 FROM lineitem)
+"""
+
+
+def _boxes(spark, d):
+    s, p, n = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_linenumber")
+    box = lambda x, y, w, h: F.struct(x.cast("double").alias("x1"), y.cast("double").alias("y1"), (x + w).cast("double").alias("x2"), (y + h).cast("double").alias("y2"))
+    a, b = box(s % 97, p % 89, n * 7, n * 5), box(s % 97 + p % 13, p % 89 + s % 11, F.lit(20), F.lit(15))
+    return base.t(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").select("l_orderkey", "l_linenumber", a.alias("a"), b.alias("b"))
+
+
+@query(
+    _BOXES
+    + """, o AS (SELECT *, greatest(least(x2, u2) - greatest(x1, u1), 0) * greatest(least(y2, v2) - greatest(y1, v1), 0) AS o, (x2 - x1) * (y2 - y1) AS m, (u2 - u1) * (v2 - v1) AS n FROM b)
+    SELECT l_orderkey, l_linenumber, round(o / (m + n - o), 9) AS iou, round(o / least(m, n), 9) AS share, (y1 + y2) / 2 AS middle, v2 - v1 AS height FROM o"""
+)
+def box_overlaps(spark, d):
+    """Overlap of two boxes over their union and over the lesser one, middle and height."""
+    a, b = F.col("a"), F.col("b")
+    return _boxes(spark, d).select("l_orderkey", "l_linenumber", F.round(mx.iou(a, b), 9).alias("iou"), F.round(mx.overlap_fraction(a, b), 9).alias("share"), mx.middle_y(a).alias("middle"), mx.height(b).alias("height"))
+
+
+@query(
+    _BOXES
+    + """, c AS (SELECT l_orderkey, l_linenumber, greatest(x1 - 5, 0) AS x, greatest(y1 - 5, 0) AS y, least(x2 + 5, 90) AS r, least(y2 + 5, 70) AS s FROM b)
+    SELECT l_orderkey, l_linenumber, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y, CAST(r - x AS BIGINT) AS w, CAST(s - y AS BIGINT) AS h FROM c WHERE r > x AND s > y"""
+)
+def crops(spark, d):
+    """Boxes padded by five and kept within a page of 90 by 70; those with nothing left go."""
+    cut = _boxes(spark, d).select("l_orderkey", "l_linenumber", mx.padded_box(F.col("a"), F.lit(5), F.lit(90), F.lit(70)).alias("c")).where("c is not null")
+    return cut.select("l_orderkey", "l_linenumber", *[F.col(f"c.{k}").cast("long").alias(k) for k in "xywh"])
+
+
+@query(
+    _BOXES
+    + """SELECT l_orderkey, l_linenumber, CAST(least(x1, u1) + 3 AS INTEGER) AS x, CAST(greatest(least(y1, v1) - 40, 0) AS INTEGER) AS y, CAST(greatest(x2, u2) - least(x1, u1) AS INTEGER) AS w, CAST(greatest(y2, v2) - least(y1, v1) AS INTEGER) AS h FROM b"""
+)
+def polygon_bounds(spark, d):
+    """Whole-pixel bounds of a moved polygon of four corners."""
+    point = lambda s, x, y: F.struct(F.col(s)[x].alias("x"), F.col(s)[y].alias("y"))
+    polygon = F.array(*[point(s, x, y) for s in "ab" for x, y in (("x2", "y1"), ("x1", "y2"))])
+    moved = _boxes(spark, d).select("l_orderkey", "l_linenumber", mx.rounded_box(mx.shifted(polygon, F.lit(3.0), F.lit(-40.0))).alias("c"))
+    return moved.select("l_orderkey", "l_linenumber", *[F.col(f"c.{k}").alias(k) for k in "xywh"])
+
+
+@query(
+    """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM documents),
+    g AS (SELECT doc_id, text, k, (k * 37 + doc_id * 11) % 1000 AS x, (k * 61) % 1400 AS y, least(length(text) * 9, 900) AS w, 12 + doc_id % 20 AS h, 1000 AS pw, 1400 AS ph FROM l)
+    SELECT doc_id, count(*) FILTER (y < ph * 0.05 OR y + h > ph * 0.975) AS margins, count(*) FILTER (regexp_full_match(text, '[0-9[:punct:]]*') AND w <= pw * 0.02 AND h <= ph * 0.02) AS artifacts,
+           CAST(sum(CASE WHEN x + w // 2 >= pw // 2 THEN 1 ELSE 0 END) AS BIGINT) AS right_column FROM g GROUP BY doc_id"""
+)
+def line_flags(spark, d):
+    """Margin lines, specks and lines of the right column, per document laid out as a page."""
+    lines = base.t(spark, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "text"))
+    k, i = F.col("k"), F.col("doc_id")
+    placed = lines.select(
+        "doc_id", "text", ((k * 37 + i * 11) % 1000).alias("x"), ((k * 61) % 1400).alias("y"), F.least(F.length("text") * 9, F.lit(900)).alias("w"), (12 + i % 20).alias("h"), F.lit(1000).alias("page_w"), F.lit(1400).alias("page_h")
+    )
+    return placed.groupBy("doc_id").agg(F.count_if(layout.is_margin()).alias("margins"), F.count_if(layout.is_artifact()).alias("artifacts"), F.sum(layout.column_of()).alias("right_column"))
+
+
+@query(
+    _ENTRIES
+    + """, b AS (SELECT id, string_split(regexp_replace(lower(CASE WHEN headed AND head IS NOT NULL THEN head || ' ' ELSE '' END || array_to_string(lines, ' ')), '[^\\p{L}\\p{N}\\p{M}]+', ' ', 'g'), ' ') AS terms FROM e)
+    SELECT id AS entry_id FROM b WHERE list_contains(terms, 'the') AND list_contains(terms, 'of')"""
+)
+def entry_search(spark, d):
+    """Entries that hold two terms, by the inverted index."""
+    return corpus.search(corpus.search_index(base._corpus(spark, d)), "the", "Of")
+
+
+@query(
+    """WITH h AS (SELECT doc_id, text, lang, lpad(hex(octet_length(encode(text))), 16, '0') AS a, lpad(hex(octet_length(encode(lang))), 16, '0') AS b FROM documents),
+    r AS (SELECT *, list_reduce([substr(a, 2 * i + 1, 2) FOR i IN range(0, 8)], lambda x, y: y || x) AS ra, list_reduce([substr(b, 2 * i + 1, 2) FOR i IN range(0, 8)], lambda x, y: y || x) AS rb FROM h)
+    SELECT doc_id, sha256(from_hex(ra) || encode(text) || from_hex(rb) || encode(lang)) AS digest, text IS NOT NULL AND lang IS NOT NULL AS good FROM r"""
+)
+def content_hashes(spark, d):
+    """Length-prefixed SHA-256 of text and language, and whether it looks like one."""
+    docs = base.t(spark, d, "documents", "doc_id", "text", "lang")
+    return docs.select("doc_id", ids.content_hash(F.col("text"), F.col("lang")).alias("digest")).select("doc_id", "digest", ids.is_sha256(F.col("digest")).alias("good"))
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey = 7 THEN 'vii' WHEN o_orderkey = 33 THEN 'xxxiii' WHEN o_orderkey - 500 > 0 THEN CAST(o_orderkey - 500 AS VARCHAR) ELSE 'front-' || lpad(CAST(o_orderkey AS VARCHAR), 4, '0') END AS label,
+    o_orderkey NOT IN (7, 33) AND o_orderkey <= 500 AS front_matter FROM orders"""
+)
+def printed_pages(spark, d):
+    """Printed labels of scanned pages: mapped ones, numbers by offset, front matter."""
+    named = F.create_map(F.lit(7), F.lit("vii"), F.lit(33), F.lit("xxxiii"))
+    page = ids.printed_page(F.col("o_orderkey").cast("int"), F.lit(-500), named)
+    return base.t(spark, d, "orders", "o_orderkey").select("o_orderkey", page.alias("p")).select("o_orderkey", "p.label", "p.front_matter")
+
+
+#: Distinct words of the documents with other scripts added.
+_WORDS = f"WITH i AS (SELECT doc_id, {base._INJECT} AS s FROM documents), w AS (SELECT DISTINCT w FROM (SELECT unnest(string_split(s, ' ')) AS w FROM i) WHERE w <> '' AND NOT regexp_matches(w, '\\s'))"
+
+
+def _words(spark, d):
+    words = base._injected(spark, d).select(F.explode(F.split("text", " ")).alias("w"))
+    return words.where("w <> ''").where(~F.col("w").rlike(r"\s")).distinct()
+
+
+@query(
+    _WORDS
+    + """, t AS (SELECT w, regexp_replace(w, '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g') AS core FROM w)
+    SELECT md5(w) AS word, core <> '' AND length(core) <= 6 AND NOT regexp_full_match(core, '[a-z]*') AND NOT (regexp_full_match(core, '\\p{N}*') AND regexp_matches(w, '[^\\p{L}\\p{N}]')) AS candidate,
+    regexp_matches(w, '^[^\\p{L}\\p{N}]*\\p{Hebrew}') AS hebrew, regexp_matches(w, '\\p{Hebrew}|\\p{Arabic}|\\p{Syriac}|\\p{Greek}') AS foreign_script,
+    nullif(regexp_extract(w, '\\p{Hebrew}[\\p{Hebrew}\\p{Inherited}-]*'), '') AS run FROM t"""
+)
+def headword_words(spark, d):
+    """Headword rules over the distinct words."""
+    w = F.col("w")
+    return _words(spark, d).select(F.md5("w").alias("word"), tx.headword_candidate(w).alias("candidate"), tx.begins_with_hebrew(w).alias("hebrew"), tx.contains_foreign(w).alias("foreign_script"), tx.hebrew_headword(w).alias("run"))
+
+
+@query(
+    f"""WITH i AS (SELECT doc_id, {base._INJECT} AS s FROM documents), c AS (SELECT doc_id, len(regexp_extract_all(s, '\\p{{L}}')) AS n, len(regexp_extract_all(regexp_replace(s, '[^\\p{{L}}]', '', 'g'), '\\p{{Hebrew}}')) AS h, len(regexp_extract_all(regexp_replace(s, '[^\\p{{L}}]', '', 'g'), '\\p{{Greek}}')) AS g FROM i)
+    SELECT doc_id, n > 0 AND 3 * CASE WHEN doc_id % 2 = 0 THEN h ELSE g END >= 2 * n AS fits FROM c"""
+)
+def language_fit(spark, d):
+    """Whether two thirds of a text's letters are in the script of a claimed language."""
+    claimed = F.when(F.col("doc_id") % 2 == 0, "heb").otherwise("grc")
+    return base._injected(spark, d).select("doc_id", tx.matches_language(F.col("text"), claimed).alias("fits"))
+
+
+@query(
+    _ENTRIES
+    + """, s AS (SELECT doc_id, unnest(lines) AS s FROM e UNION ALL SELECT doc_id, head FROM e WHERE headed), n AS (SELECT (SELECT count(*) FROM e WHERE doc_id % 50 = 0) + (SELECT count(*) FROM e WHERE doc_id % 70 = 0 AND source <> 'other')
+    + (SELECT count(*) FILTER (doc_id = 0) + count(*) FILTER (nfc_normalize(s) <> s) + count(*) FILTER (contains(s, chr(65533))) FROM s) AS errors) SELECT CAST(errors AS BIGINT) AS errors, CAST(0 AS BIGINT) AS warnings, errors = 0 AS valid FROM n"""
+)
+def validity(spark, d):
+    """The verdict of all corpus rules together."""
+    return evaluate.is_valid(corpus.validate(base._corpus(spark, d)))
+
+
 def queries() -> dict[str, Callable]:
     return dict(_QUERIES)
 
