@@ -163,4 +163,6 @@ def links(keyed: DataFrame, signed: DataFrame, also: DataFrame, similarity: floa
         (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.root") != F.col("y.root"))
         & (~F.col("y.outside") | (F.col("x.node") < F.col("y.node"))) & _may_reach(needed, F.col("x.n"), F.col("y.n"), F.col("x.bits"), F.col("y.bits"))
     )
-    return first.unionByName(similar(_ordered(x.join(y, across), F.col("x.node"), F.col("y.node")), sets, similarity))
+    # the classes found so far stand as stars, so that the last search for classes starts from them
+    stars = tree.select(F.col("root").alias("a"), F.col("node").alias("b")).where("a <> b")
+    return stars.unionByName(similar(_ordered(x.join(y, across), F.col("x.node"), F.col("y.node")), sets, similarity))
