@@ -78,6 +78,8 @@ def exact_groups(
         .where("group_size > 1")
         .select(F.col("sha").alias("g_sha"), "group_size", F.col("best.doc_id").alias("g_keep"), F.col("best.rid").alias("g_rid"))
     )
+    # as a table of its own: a join straight on the aggregation keeps AQE from splitting a hot group's members
+    groups = materialize(groups, "dedup-groups")
     one = F.col("g_sha").isNull()
     found = again.join(groups, F.col("sha") == F.col("g_sha"), "left").select(
         "doc_id",
@@ -107,6 +109,7 @@ def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "do
     rank = F.struct((-F.char_length(F.coalesce(F.col("row")[text], F.lit("")))).alias("o"), F.col("row")[doc_id].isNull().alias("n"), F.col("row")[doc_id].alias("d"), F.xxhash64("row").alias("tie"))
     again = marked.where("again").select("row", F.sha2("norm", 256).alias("sha"), rank.alias("rank"))
     groups = again.groupBy(F.col("sha").alias("g_sha")).agg(F.min("rank").alias("g_rank"), F.count(F.lit(1)).alias("g_n")).where("g_n > 1")
+    groups = materialize(groups, "dedup-groups")
     joined = again.join(groups, F.col("sha") == F.col("g_sha"), "left")
     single = joined.where("g_sha is null").select("row.*")
     best = joined.where("g_rank = rank").select("row", "sha", "rank").dropDuplicates(["sha"]).select("row.*")
