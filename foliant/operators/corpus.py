@@ -91,10 +91,12 @@ def merge_pages(base: DataFrame, parsed: DataFrame, pages: DataFrame) -> DataFra
     return both.withColumn("_rank", newest).where("_rank = 1").drop("_rank", "seq")
 
 
-def upsert(base: DataFrame, changes: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """General form on flat tables: the change with the greatest ``order`` wins, else the base row."""
-    ranked = changes.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))).where("_rank = 1").drop("_rank")
-    return base.join(ranked.select(*keys), keys, "left_anti").unionByName(ranked.select(*base.columns))
+def upsert(base: DataFrame, changes: DataFrame, keys: list[str], order: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """General form on flat tables: the change with the greatest ``order`` wins, of equal ones the first by ``ties``,
+    else the base row.  Every base row of a changed key takes the change."""
+    newest = Window.partitionBy(*keys).orderBy(F.col(order).desc(), *ties)
+    ranked = changes.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").select(*keys, F.struct(*base.columns).alias("_change"))
+    return base.join(ranked, keys, "full").select(*[F.when(F.col("_change").isNotNull(), F.col("_change")[c]).otherwise(F.col(c)).alias(c) for c in base.columns])
 
 
 # ---- validation -------------------------------------------------------------------------------------
