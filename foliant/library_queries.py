@@ -150,7 +150,7 @@ def training_lines(spark, d):
 )
 def assignment_issues(spark, d):
     """Line assignments held against entries: blank regions, entries that are gone, lines left out."""
-    entries = base._corpus(spark, d).withColumn("source_page", F.col("entry_ordinal"))
+    entries = base._corpus(spark, d, "coordinates").withColumn("source_page", F.col("entry_ordinal"))
     i = F.col("source_page")
     lines = entries.select("edition", "source_page", "id", F.posexplode(F.get("blocks", 0)["spans"]).alias("k", "s")).where(~((i % 7 == 0) & (F.col("k") == 0)))
     assigned = lines.select(

@@ -176,15 +176,23 @@ def validate_assignments(assignments: DataFrame, entries: DataFrame) -> DataFram
     page = ["edition", "source_page"]
     line = [*page, "region_id", "line_id"]
     where = F.concat_ws(":", "edition", F.col("source_page").cast("string"), "region_id", "line_id").alias("location")
-    make = lambda df, code: df.select(F.lit("error").alias("severity"), F.lit(code).alias("code"), where)
-    blank = assignments.where(_blank(F.col("region_id")) | _blank(F.col("line_id")))
-    repeated = assignments.withColumn("_n", F.row_number().over(Window.partitionBy(*line).orderBy("kind", "entry_id"))).where("_n > 1")
+    make = lambda df, code: df.select(F.lit("error").alias("severity"), code.alias("code"), where)
+    placed = entries.select("edition", F.col("source_page").alias("_page"), F.explode(F.flatten(F.transform("blocks", lambda b: F.flatten(F.transform(b["spans"], lambda s: s["coordinates"]))))).alias("c"))
+    placed = placed.where("c.source_page = _page").select("edition", F.col("c.source_page").alias("source_page"), "c.region_id", "c.line_id")
+    # one row per line with its number of assignments decides all but the missing entries
+    both = assignments.select(*line, F.lit(1).cast("long").alias("_n"), F.lit(False).alias("_placed")).unionByName(placed.withColumns({"_n": F.lit(0).cast("long"), "_placed": F.lit(True)}))
+    per_line = both.groupBy(*line).agg(F.sum("_n").alias("_n"), F.bool_or("_placed").alias("_placed"))
+    blank = _blank(F.col("region_id")) | _blank(F.col("line_id"))
+    nameless = F.col("edition").isNull() | F.col("source_page").isNull() | F.col("region_id").isNull() | F.col("line_id").isNull()
+    codes = F.concat(
+        F.when(blank, F.array_repeat(F.lit("empty_line_identity"), F.col("_n").cast("int"))).otherwise(F.array().cast("array<string>")),
+        F.array_repeat(F.lit("duplicate_line_assignment"), F.greatest(F.col("_n") - 1, F.lit(0)).cast("int")),
+        F.when(F.col("_placed") & ((F.col("_n") == 0) | nameless), F.array(F.lit("unassigned_recognized_line"))).otherwise(F.array().cast("array<string>")),
+    )
+    found = per_line.select(*line, F.explode(codes).alias("_code"))
     own = entries.select(*page, F.col("id").alias("entry_id")).distinct()
     missing = assignments.where("kind = 'entry'").join(own, [*page, "entry_id"], "left_anti")
-    placed = entries.select("edition", F.col("source_page").alias("_page"), F.explode(F.flatten(F.transform("blocks", lambda b: F.flatten(F.transform(b["spans"], lambda s: s["coordinates"]))))).alias("c"))
-    placed = placed.where("c.source_page = _page").select("edition", F.col("c.source_page").alias("source_page"), "c.region_id", "c.line_id").distinct()
-    loose = placed.join(assignments.select(*line).distinct(), line, "left_anti")
-    return make(blank, "empty_line_identity").unionByName(make(repeated, "duplicate_line_assignment")).unionByName(make(missing, "missing_assigned_entry")).unionByName(make(loose, "unassigned_recognized_line"))
+    return make(found, F.col("_code")).unionByName(make(missing, F.lit("missing_assigned_entry")))
 
 
 def broken_references(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
