@@ -8,7 +8,6 @@ from pyspark.sql.window import Window
 
 from .. import schemas
 from ..functions import ids, text as tx
-from ..functions import metrics as mx
 from ..functions import udf
 
 LOW_CONFIDENCE, DISAGREEMENT = 0.80, 0.15
@@ -206,12 +205,14 @@ def broken_references(child: DataFrame, key: str, parent: DataFrame, parent_key:
 
 def review_summary(entries: DataFrame, threshold: float = LOW_CONFIDENCE, disagreement: float = DISAGREEMENT) -> DataFrame:
     """Per entry: warnings, greatest disagreement of the first two readings, and whether it is queued."""
-    s = all_spans()
-    two = lambda x: F.when(F.size(x["hypotheses"]) >= 2, mx.disagreement(F.get(x["hypotheses"], 0)["text"], F.get(x["hypotheses"], 1)["text"]))
-    out = entries.select(
-        "id", "edition", "printed_page", "entry_ordinal", F.col("headword.normalized").alias("headword"), "confidence", "review_state", "revision",
-        F.aggregate(s, F.lit(0), lambda a, x: a + F.greatest(F.coalesce(F.size(x["warnings"]), F.lit(0)), F.lit(0))).alias("warnings"),
-        F.coalesce(F.array_max(F.transform(s, two)), F.lit(0.0)).alias("disagreement"),
+    kept = ["id", "edition", "printed_page", "entry_ordinal", "confidence", "review_state", "revision"]
+    spans_of = entries.select(*kept, F.col("headword.normalized").alias("headword"), all_spans().alias("_spans"))
+    two = F.filter("_spans", lambda x: F.size(x["hypotheses"]) >= 2)
+    read = lambda k: F.transform(two, lambda x: F.get(x["hypotheses"], k)["text"])
+    out = spans_of.select(
+        *kept[:4], "headword", *kept[4:],
+        F.aggregate("_spans", F.lit(0), lambda a, x: a + F.greatest(F.coalesce(F.size(x["warnings"]), F.lit(0)), F.lit(0))).alias("warnings"),
+        F.coalesce(F.array_max(udf.disagreements(read(0), read(1))), F.lit(0.0)).alias("disagreement"),
     )
     doubt = (F.col("confidence") < F.lit(threshold).cast("float")) | (F.col("warnings") > 0) | (F.col("disagreement") > disagreement)
     return out.withColumn("queued", (F.col("review_state") == "machine") & doubt)

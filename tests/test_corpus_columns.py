@@ -1,10 +1,14 @@
 """Queries that name the span fields they look at give what the whole entries give, at a cost that fits large tables."""
 
-import pytest
+import random
+
 from pyspark.sql import functions as F
 
 from foliant import library_queries, queries
+from foliant.functions import metrics as mx
+from foliant.functions import udf
 from foliant.operators import corpus
+from test_whole_turns import distance
 
 DATA = "/root/testdata/sf0.001"
 
@@ -42,3 +46,28 @@ def test_assignments_rules(spark):
         ("duplicate_line_assignment", "s:1:r:a"), ("duplicate_line_assignment", "s:1:r:a"), ("empty_line_identity", "s:1: :d"), ("empty_line_identity", "s:1:e"),
         ("missing_assigned_entry", "s:1: :d"), ("missing_assigned_entry", "s:1:e"), ("unassigned_recognized_line", "s:1:e"), ("unassigned_recognized_line", "s:1:r:b"),
     ]
+
+
+def test_distances_against_brute_force(monkeypatch):
+    """Bounds that meet and bounds that do not, unequal lengths, several alphabets, small pieces."""
+    rnd = random.Random(7)
+    made = lambda n: "".join(rnd.choice("abβé😀") for _ in range(rnd.randrange(n)))
+    left = [made(14) for _ in range(600)] + ["abcabcabc", "", "é", "eeeaeee"]
+    right = [made(14) for _ in range(300)] + ["".join(rnd.sample(x, len(x))) for x in left[300:600]] + ["bcabcabca", "", "é", "cccaccc"]
+    want = [distance(a, b) for a, b in zip(left, right)]
+    assert udf.distances(left, right).tolist() == want
+    assert [udf.edit_distance(a, b) for a, b in zip(left, right)] == want
+    monkeypatch.setattr(udf, "CHARS", 20)
+    assert udf._rates(left, right) == [d / (max(len(a), len(b)) or 1) for d, a, b in zip(want, left, right)]
+
+
+def test_review_queue_needs_no_table(spark, monkeypatch):
+    """The plan has no edit-distance table per line and builds no scripts; arrays of readings agree with the column form, missing ones too."""
+    got = queries.review_queue(spark, DATA)
+    assert "levenshtein" not in plan(got) and "IsCommon" not in plan(got)
+    assert same(got, with_whole_entries(monkeypatch, spark, "review_queue"))
+    pairs = [("abc", "abd"), (None, "x"), ("x", None), (None, None), ("", ""), ("", "ab"), ("äb", "b")]
+    rows = spark.createDataFrame([(pairs,), ([],), (None,)], "p array<struct<a:string,b:string>>")
+    told = [r.d for r in rows.select(udf.disagreements(F.col("p.a"), F.col("p.b")).alias("d")).collect()]
+    columns = [r.d for r in spark.createDataFrame(pairs, "a string, b string").select(mx.disagreement(F.col("a"), F.col("b")).alias("d")).collect()]
+    assert told == [columns, [], []]
