@@ -86,7 +86,8 @@ def shredded_spans(spark, d):
 )
 def foreign_keys(spark, d):
     """Broken references of the shredded tables per foreign key."""
-    return writers.check_tables(writers.shred(base._corpus(spark, d))).select("child", "key", "broken")
+    entries = base._corpus(spark, d, "id", "hypotheses", "coordinates", "warnings")
+    return writers.check_tables(writers.shred(entries)).select("child", "key", "broken")
 
 
 @query(_ENTRIES + "SELECT id, md5(array_to_string(lines, ' ')) AS digest FROM e")

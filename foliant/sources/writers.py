@@ -169,12 +169,20 @@ def shred(entries: DataFrame) -> dict[str, DataFrame]:
     in_block = blocks.select("entry_id", c("id").alias("block_id"), c("kind").alias("role"), F.lit(2).alias("rank"), F.posexplode("spans").alias("k", "s"))
     cited = lone(F.transform("citations", lambda x: x["text"]), "citation", 3)
     crossed = lone(F.transform("cross_references", lambda x: x["text"]), "cross_reference", 4)
-    every = heads.unionByName(labels).unionByName(in_block).unionByName(cited).unionByName(crossed)
-    # a citation's span may be one that a block already stores: the first place keeps it
-    first = F.row_number().over(Window.partitionBy("entry_id", "s.id").orderBy("rank", "block_id", "k"))
-    stored = every.withColumn("_n", first).where("_n = 1").drop("_n", "rank")
-    spans = stored.select("s.id", "entry_id", "block_id", "role", c("k").alias("ordinal"), *[f"s.{n}" for n in ("diplomatic", "normalized", "language", "script", "direction", "confidence", "review_state")])
-    child = lambda name, *fields: stored.select(c("s.id").alias("span_id"), F.posexplode(f"s.{name}").alias("k", "x")).select("span_id", c("k").alias("ordinal"), *fields)
+
+    def stored(*fields: str) -> DataFrame:
+        # only what a table shows goes through the shuffle
+        every = None
+        for part in (heads, labels, in_block, cited, crossed):
+            part = part.select("entry_id", "block_id", "role", "rank", "k", c("s.id").alias("id"), *[f"s.{n}" for n in fields])
+            every = part if every is None else every.unionByName(part)
+        # a citation's span may be one that a block already stores: the first place keeps it
+        first = F.row_number().over(Window.partitionBy("entry_id", "id").orderBy("rank", "block_id", "k"))
+        return every.withColumn("_n", first).where("_n = 1").drop("_n", "rank")
+
+    shown = ("diplomatic", "normalized", "language", "script", "direction", "confidence", "review_state")
+    spans = stored(*shown).select("id", "entry_id", "block_id", "role", c("k").alias("ordinal"), *shown)
+    child = lambda name, *fields: stored(name).select(c("id").alias("span_id"), F.posexplode(name).alias("k", "x")).select("span_id", c("k").alias("ordinal"), *fields)
     return {
         "editions": editions,
         "entries": base,
@@ -211,12 +219,24 @@ FOREIGN_KEYS = (
 
 
 def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """``child, key, parent, broken`` for every foreign key."""
-    out = None
-    for child, key, parent, parent_key in FOREIGN_KEYS:
-        row = corpus.broken_references(tables[child], key, tables[parent], parent_key).agg(F.count(F.lit(1)).alias("broken")).select(F.lit(child).alias("child"), F.lit(key).alias("key"), F.lit(parent).alias("parent"), "broken")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """``child, key, parent, broken`` for every foreign key.
+
+    Each table is read once, as rows of its keys, which are counted before they are shuffled: a key that no parent row has
+    is broken as often as its child columns hold it."""
+    spaces = sorted({(parent, key) for _, _, parent, key in FOREIGN_KEYS})
+    keys = None
+    for name, table in tables.items():
+        held = [(key, spaces.index((parent, key)), -1) for parent, key in spaces if parent == name]
+        held += [(key, spaces.index((parent, parent_key)), i) for i, (child, key, parent, parent_key) in enumerate(FOREIGN_KEYS) if child == name]
+        if held:
+            of_row = F.array(*[F.struct(F.lit(space).alias("space"), F.col(key).cast("string").alias("value"), F.lit(role).alias("role")) for key, space, role in held])
+            rows = table.select(F.explode(of_row).alias("x")).select("x.*").where("value IS NOT NULL")
+            keys = rows if keys is None else keys.unionByName(rows)
+    numbers = range(len(FOREIGN_KEYS))
+    per_key = keys.groupBy("space", "value").agg(F.bool_or(F.col("role") == -1).alias("known"), *[F.count_if(F.col("role") == i).alias(f"n{i}") for i in numbers])
+    total = per_key.agg(*[F.coalesce(F.sum(F.when(~F.col("known"), F.col(f"n{i}"))), F.lit(0).cast("long")).alias(f"n{i}") for i in numbers])
+    rows = F.array(*[F.struct(F.lit(child).alias("child"), F.lit(key).alias("key"), F.lit(parent).alias("parent"), F.col(f"n{i}").alias("broken")) for i, (child, key, parent, _) in enumerate(FOREIGN_KEYS)])
+    return total.select(F.explode(rows).alias("x")).select("x.*")
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:

@@ -8,6 +8,7 @@ from foliant import library_queries, queries
 from foliant.functions import metrics as mx
 from foliant.functions import udf
 from foliant.operators import corpus
+from foliant.sources import writers
 from test_whole_turns import distance
 
 DATA = "/root/testdata/sf0.001"
@@ -71,3 +72,26 @@ def test_review_queue_needs_no_table(spark, monkeypatch):
     told = [r.d for r in rows.select(udf.disagreements(F.col("p.a"), F.col("p.b")).alias("d")).collect()]
     columns = [r.d for r in spark.createDataFrame(pairs, "a string, b string").select(mx.disagreement(F.col("a"), F.col("b")).alias("d")).collect()]
     assert told == [columns, [], []]
+
+
+def test_foreign_keys_reads_each_table_once(spark, monkeypatch):
+    """No join, no scripts, and the same counts as with whole entries."""
+    got = library_queries.foreign_keys(spark, DATA)
+    assert "IsCommon" not in plan(got) and "Join" not in plan(got)
+    assert same(got, with_whole_entries(monkeypatch, spark, "foreign_keys"))
+
+
+def test_broken_keys_are_counted(spark):
+    """Every foreign key broken by other numbers of rows; null keys are no references."""
+    tables = writers.shred(queries._corpus(spark, DATA).limit(30).cache())
+    n = {name: table.count() for name, table in tables.items()}
+    gone = dict(tables)
+    gone["entries"] = tables["entries"].where("id NOT LIKE '%3'").withColumn("edition_id", F.when(F.col("id").like("%4"), "none").otherwise(F.col("edition_id")))
+    gone["spans"] = tables["spans"].where("ordinal > 0")
+    gone["blocks"] = tables["blocks"].limit(0)
+    want = {}
+    for child, key, parent, parent_key in writers.FOREIGN_KEYS:
+        held, known = [r[0] for r in gone[child].select(key).collect()], {r[0] for r in gone[parent].select(parent_key).collect()}
+        want[child, key] = sum(v is not None and v not in known for v in held)
+    got = {(r.child, r.key): r.broken for r in writers.check_tables(gone).collect()}
+    assert got == want and got["spans", "block_id"] > 0 and got["spans", "entry_id"] > 0 and got["ocr_hypotheses", "span_id"] > 0 and n["spans"] > 30
